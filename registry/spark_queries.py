@@ -18,6 +18,7 @@ TURNS = 1 << 20
 
 # Frequency tables of a data folder, counted once per application and written to its work folder.
 _trained: dict[tuple[str, str], dict[int, DataFrame]] = {}
+_models: dict[tuple[str, str, str], dict] = {}
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +32,15 @@ def trained(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
     return _trained[key]
 
 
+def trained_model(spark: SparkSession, sf_dir: str, kind: str) -> dict:
+    """The written top-k tables up to tetragrams, built once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _models:
+        build = models.mle_model if kind == "mle" else models.interpolated_model
+        _models[key] = models.save_model(build(tables=trained(spark, sf_dir), max_n=4))
+    return _models[key]
+
+
 def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").where("role = 'user'")
     return turns.select((F.col("conv_id") * TURNS + F.col("turn")).alias("query_id"), "text")
@@ -158,8 +168,22 @@ def mle_top(n: int, k: int = 5, trim_context: bool = False) -> Query:
     )
 
 
-def kn_model(name: str) -> Query:
-    return lambda spark, sf_dir: models.kn_model(tables=trained(spark, sf_dir))[name]
+def top_interpolated(n: int, k: int) -> Query:
+    def query(spark, sf_dir):
+        top = models.interpolated_top(trained(spark, sf_dir), n, k)
+        return top.drop("prob").withColumnRenamed("smooth_prob", "prob")
+
+    return query
+
+
+def top_kn(n: int, k: int, prob: str) -> Query:
+    def query(spark, sf_dir):
+        scored = trigram_kn(spark, sf_dir) if n == 3 else bigram_kn(spark, sf_dir)
+        if prob == "smooth_kn":
+            scored = kneser_ney.bigram_kn_interpolated(scored)
+        return models.ranked_model(scored, n, k, prob)
+
+    return query
 
 
 def indexed(n: int) -> Query:
@@ -176,14 +200,14 @@ def indexed(n: int) -> Query:
 
 def predict_backoff(max_n: int) -> Query:
     def query(spark, sf_dir):
-        model = models.mle_model(tables=trained(spark, sf_dir), max_n=max_n)
+        model = trained_model(spark, sf_dir, "mle")
         return predict.predict_backoff(phrases(spark, sf_dir), model, max_n)
 
     return query
 
 
 def predict_interpolated(spark, sf_dir):
-    model = models.interpolated_model(tables=trained(spark, sf_dir))
+    model = trained_model(spark, sf_dir, "interpolated")
     return predict.predict_interpolated(phrases(spark, sf_dir), model)
 
 
@@ -220,12 +244,12 @@ QUERIES: dict[str, Query] = {
     "top5_bigram_mle": mle_top(2),
     "top5_trigram_mle": mle_top(3),
     "top5_tetragram_mle": mle_top(4),
-    "top3_bigram_interpolated": kn_model("bigram_mle_interpolated"),
-    "top3_trigram_interpolated": kn_model("trigram_mle_interpolated"),
-    "top5_bigram_kn": kn_model("bigram_kn"),
-    "top5_bigram_kn_interpolated": kn_model("bigram_kn_interpolated"),
+    "top3_bigram_interpolated": top_interpolated(2, 3),
+    "top3_trigram_interpolated": top_interpolated(3, 3),
+    "top5_bigram_kn": top_kn(2, 5, "prob_kn"),
+    "top5_bigram_kn_interpolated": top_kn(2, 5, "smooth_kn"),
     "top3_trigram_mle": mle_top(3, 3),
-    "top3_trigram_kn": kn_model("trigram_kn"),
+    "top3_trigram_kn": top_kn(3, 3, "prob_kn"),
     "indexed_bigrams": indexed(2),
     "indexed_trigrams": indexed(3),
     "indexed_tetragrams": indexed(4),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wordloom.functions.text import has_digit_led_word
 from wordloom.operators.counts import total
+from wordloom.operators.joins import context_join
 
 # Interpolation weights, highest order first.
 BIGRAM_WEIGHTS = (0.75, 0.25)
@@ -39,6 +40,10 @@ def in_vocabulary(
     n-grams of the same corpus this is a narrow predicate. Pass ``vocabulary(word)`` to restrict
     to some other dictionary; each word is then looked up by a semi join.
     """
+    # The null checks add nothing here. Spelled out, they make the filters of all branches that
+    # read the same table equal, so that Spark can reuse one exchange for several of them.
+    for name in words:
+        df = df.where(F.col(name).isNotNull())
     df = df.where(~has_digit_led_word(*words))
     if vocabulary is not None:
         for name in words:
@@ -52,30 +57,54 @@ def unigram_mle(c1: DataFrame) -> DataFrame:
     return c1.withColumn("uni_prob", share)
 
 
-def bigram_mle(c2: DataFrame, uni: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
-    """P(w2 | w1), with the first word's frequency and probability alongside."""
+def bigram_mle(
+    c2: DataFrame, uni: DataFrame, vocabulary: DataFrame | None = None, ranked: bool = False
+) -> DataFrame:
+    """P(w2 | w1), with the first word's frequency and probability alongside.
+
+    ``ranked`` says that the n-grams were already cut to a few per context, here and in the
+    longer orders: the join then needs no care for hot contexts.
+    """
     first = uni.select(F.col("word").alias("w1"), "uni_freq", "uni_prob")
     known = in_vocabulary(c2, ["w1", "w2"], vocabulary)
-    return known.join(first, "w1").withColumn("prob_mle", ratio("bi_freq", "uni_freq"))
+    joined = context_join(known, first, ["w1"], ["w2"], first, "uni_freq", c2, not ranked)
+    return joined.withColumn("prob_mle", ratio("bi_freq", "uni_freq"))
 
 
-def trigram_mle(c3: DataFrame, bi: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
-    """P(w3 | w1 w2). ``bi`` may be plain bigram counts or the output of ``bigram_mle``."""
+def trigram_mle(
+    c3: DataFrame,
+    bi: DataFrame,
+    vocabulary: DataFrame | None = None,
+    counts: DataFrame | None = None,
+    ranked: bool = False,
+) -> DataFrame:
+    """P(w3 | w1 w2). ``bi`` may be plain bigram counts or the output of ``bigram_mle``; in the
+    latter case ``counts`` may name the plain counts, which are cheaper to read again."""
+    context = ["w1", "w2"]
     renamed = {"prob_mle": "bi_prob", "uni_prob": "uni_prob"}
-    lower = bi.select(
-        "w1", "w2", "bi_freq", *[F.col(c).alias(a) for c, a in renamed.items() if c in bi.columns]
-    )
-    known = in_vocabulary(c3, ["w1", "w2", "w3"], vocabulary)
-    return known.join(lower, ["w1", "w2"]).withColumn("tri_prob", ratio("tri_freq", "bi_freq"))
+    carried = [F.col(c).alias(a) for c, a in renamed.items() if c in bi.columns]
+    lower = bi.select(*context, "bi_freq", *carried)
+    known = in_vocabulary(c3, [*context, "w3"], vocabulary)
+    counts = bi if counts is None else counts
+    joined = context_join(known, lower, context, ["w3"], counts, "bi_freq", c3, not ranked)
+    return joined.withColumn("tri_prob", ratio("tri_freq", "bi_freq"))
 
 
-def tetragram_mle(c4: DataFrame, tri: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
+def tetragram_mle(
+    c4: DataFrame,
+    tri: DataFrame,
+    vocabulary: DataFrame | None = None,
+    counts: DataFrame | None = None,
+    ranked: bool = False,
+) -> DataFrame:
     """P(w4 | w1 w2 w3). ``tri`` may be plain trigram counts or the output of ``trigram_mle``."""
     context = ["w1", "w2", "w3"]
     carried = [c for c in ("tri_prob", "bi_prob", "uni_prob") if c in tri.columns]
     lower = tri.select(*context, "tri_freq", *carried)
     known = in_vocabulary(c4, [*context, "w4"], vocabulary)
-    return known.join(lower, context).withColumn("tetra_prob", ratio("tetra_freq", "tri_freq"))
+    counts = tri if counts is None else counts
+    joined = context_join(known, lower, context, ["w4"], counts, "tri_freq", c4, not ranked)
+    return joined.withColumn("tetra_prob", ratio("tetra_freq", "tri_freq"))
 
 
 def _shifted(df: DataFrame, n: int, by: int, prob: str, alias: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wordloom.functions.text import clean_text, remove_listed_features, tokenize
 from wordloom.functions.words import STOP_WORDS, drop_stop_words, trim_predictions
 from wordloom.operators.counts import FREQ, count_tables, words_of
+from wordloom.operators.joins import context_join
 from wordloom.operators.kneser_ney import bigram_kn, bigram_kn_interpolated, trigram_kn
 from wordloom.operators.mle import (
     bigram_interpolated,
@@ -117,9 +118,9 @@ def probabilities(tables: Tables, max_n: int = 4) -> dict[int, DataFrame]:
     if max_n >= 2:
         out[2] = bigram_interpolated(bigram_mle(tables[2], out[1]))
     if max_n >= 3:
-        out[3] = trigram_interpolated(trigram_mle(tables[3], out[2]))
+        out[3] = trigram_interpolated(trigram_mle(tables[3], out[2], counts=tables[2]))
     if max_n >= 4:
-        out[4] = tetragram_interpolated(tetragram_mle(tables[4], out[3]))
+        out[4] = tetragram_interpolated(tetragram_mle(tables[4], out[3], counts=tables[3]))
     return out
 
 
@@ -139,14 +140,16 @@ def interpolated_top(
     best = top_ngrams(trimmed_counts(tables[n], n, stop_words, trim_context, trim_on), n, k)
     uni = unigram_mle(tables[1])
     if n == 2:
-        scored = bigram_interpolated(bigram_mle(best, uni)).withColumn(
+        scored = bigram_interpolated(bigram_mle(best, uni, ranked=True)).withColumn(
             "smooth_prob", F.col("smooth_mle")
         )
         return model_table(scored, n, "prob_mle", "smooth_prob")
     bi = bigram_mle(tables[2], uni)
     if n == 3:
-        return model_table(trigram_interpolated(trigram_mle(best, bi)), n, "tri_prob", "smooth_prob")
-    scored = tetragram_interpolated(tetragram_mle(best, trigram_mle(tables[3], bi)))
+        scored = trigram_interpolated(trigram_mle(best, bi, ranked=True))
+        return model_table(scored, n, "tri_prob", "smooth_prob")
+    tri = trigram_mle(tables[3], bi, counts=tables[2])
+    scored = tetragram_interpolated(tetragram_mle(best, tri, ranked=True))
     return model_table(scored, n, "tetra_prob", "smooth_prob")
 
 
@@ -172,6 +175,11 @@ def interpolated_model(
     return model
 
 
+def save_model(model: Mapping, folder: str | None = None) -> dict:
+    """Write every table of a model, so that predictions read the finished tables."""
+    return {key: materialize(table, f"model_{key}", folder) for key, table in model.items()}
+
+
 def ranked_model(
     df: DataFrame, n: int, k: int, prob: str, stop_words: Sequence[str] = STOP_WORDS
 ) -> DataFrame:
@@ -236,13 +244,14 @@ def indexed_tables(
     lower = indexed.select(
         F.col("word").alias("w1"), F.col("word_int").alias("w1_int"), "uni_freq", "uni_prob"
     )
-    last_word = indexed.select("word", "word_int")
+    contexts = lower.select("w1", "uni_freq")
     for n in range(2, 5):
         if counts[n] is None:
             break
         words = words_of(n)
-        full = _indexed(counts[n], n, lower, last_word)
+        full = _indexed(counts[n], n, lower, contexts, indexed)
         lower = full.drop(FREQ[n - 1], "uni_prob")
+        contexts = counts[n]
         kept = full
         if stop_words is not None and n > 2:
             kept = drop_stop_words(full, words[-1], stop_words)
@@ -250,11 +259,16 @@ def indexed_tables(
     return out
 
 
-def _indexed(counts: DataFrame, n: int, lower: DataFrame, last_word: DataFrame) -> DataFrame:
+def _indexed(
+    counts: DataFrame, n: int, lower: DataFrame, contexts: DataFrame, dictionary: DataFrame
+) -> DataFrame:
     words = words_of(n)
-    last = last_word.toDF(words[-1], f"{words[-1]}_int")
+    context, last = words[:-1], words[-1]
     known = in_vocabulary(counts, words)
-    return known.join(lower, words[:-1]).join(last, words[-1])
+    joined = context_join(known, lower, context, [last], contexts, FREQ[n - 1], counts)
+    ids = dictionary.select(F.col("word").alias(last), F.col("word_int").alias(f"{last}_int"))
+    freqs = dictionary.select(F.col("word").alias(last), F.col("uni_freq"))
+    return context_join(joined, ids, [last], context, freqs, "uni_freq", counts)
 
 
 def _measures(n: int) -> list[Column]:

@@ -146,7 +146,7 @@ def per_order(measure) -> Query:
 
 def bigram_kn(spark, sf_dir):
     tables = trained(spark, sf_dir)
-    return kneser_ney.bigram_kn(tables[2], mle.unigram_mle(tables[1]))
+    return models.kn_bigrams(tables, mle.unigram_mle(tables[1]))
 
 
 def bigram_kn_interpolated(spark, sf_dir):
@@ -156,7 +156,7 @@ def bigram_kn_interpolated(spark, sf_dir):
 
 def trigram_kn(spark, sf_dir):
     tables = trained(spark, sf_dir)
-    return kneser_ney.trigram_kn(tables[3], tables[2], mle.unigram_mle(tables[1]))
+    return models.kn_trigrams(tables, mle.unigram_mle(tables[1]))
 
 
 # --- model tables ---------------------------------------------------------------------------

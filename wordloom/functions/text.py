@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wordloom.functions.words import is_digit_led
+from wordloom.workspace import materialize
 
 # A block list up to this length is looked up as a hash set inside the filter expression;
 # a longer one is anti-joined.
@@ -70,13 +71,17 @@ def remove_listed_features(docs: DataFrame, words: DataFrame) -> DataFrame:
     """``remove_features`` on ``docs.tokens`` for a ``words(word)`` table of any length.
 
     A list within ``MAX_INLINE_WORDS`` becomes a hash set in a narrow filter. Beyond that the
-    tokens are anti-joined and put back in order; a group is one record, never more.
+    list is written, so that Spark knows its size, the tokens are matched against it and put back
+    in order; a group is one record, told by the other columns, never more.
     """
     listed = words.select("word").where(F.col("word").isNotNull()).distinct()
     head = [row.word for row in listed.limit(MAX_INLINE_WORDS + 1).collect()]
     if len(head) <= MAX_INLINE_WORDS:
         return docs.withColumn("tokens", remove_features(F.col("tokens"), head))
     keys = [name for name in docs.columns if name != "tokens"]
+    if not keys:
+        raise ValueError("a long block list needs a record key beside the tokens")
+    listed = materialize(listed, "block_list")
     exploded = docs.select(*keys, F.posexplode_outer("tokens").alias("pos", "word"))
     marked = exploded.join(listed.withColumn("listed", F.lit(True)), "word", "left")
     kept = F.when(F.col("word").isNotNull() & F.col("listed").isNull(), F.struct("pos", "word"))

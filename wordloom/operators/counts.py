@@ -38,37 +38,49 @@ def ngram_positions(docs: DataFrame, n: int) -> DataFrame:
 def ngram_counts(docs: DataFrame, n: int) -> DataFrame:
     """Frequency table of the n-grams of ``docs.tokens``: partial counts, one shuffle."""
     slots = _slots(n)
-    grams = ngram_positions(docs, n).where(F.col(slots[-1]).isNotNull())
+    # Tokens are never empty. A plain null check would again be inferred for the token array
+    # itself, below the explode, at the price of a second run of the cleaning chain.
+    grams = ngram_positions(docs, n).where(F.coalesce(slots[-1], F.lit("")) != "")
     counted = grams.groupBy(*slots).agg(F.count(F.lit(1)).alias(FREQ[n]))
     return counted.withColumnRenamed("w1", "word") if n == 1 else counted
 
 
-def count_tables(docs: DataFrame, max_n: int = 4, folder: str | None = None) -> dict[int, DataFrame]:
+def count_tables(
+    docs: DataFrame, max_n: int = 4, folder: str | None = None
+) -> dict[int | str, DataFrame]:
     """Frequency tables of every order up to ``max_n`` from one pass over the text.
 
     Only the longest n-grams are counted from tokens, with the short ones at the end of a record
     kept as null-padded rows. Each lower order is the sum over the last word of the order above
     it, so the corpus is read, cleaned and exploded once and the later shuffles move types.
     Each table is written out, which is also where a lost executor's work restarts.
+
+    The same sums give the number of different dictionary words that follow an n-gram: besides
+    the plain table under n, orders below ``max_n`` come as ``contexts<n>`` with ``n_next``.
     """
     spark = docs.sparkSession
-    tables: dict[int, DataFrame] = {}
+    tables: dict[int | str, DataFrame] = {}
     with shuffle_partitions(spark, SHUFFLE_EXPANSION * estimated_bytes(docs)):
-        slots = _slots(max_n)
-        padded = ngram_positions(docs, max_n).groupBy(*slots).agg(F.count(F.lit(1)).alias("freq"))
+        padded = ngram_positions(docs, max_n).groupBy(*_slots(max_n))
+        padded = padded.agg(F.count(F.lit(1)).alias("freq"))
         for n in range(max_n, 0, -1):
             padded = materialize(padded, f"grams{n}", folder)
             tables[n] = _complete(padded, n)
-            slots = _slots(n - 1)
-            padded = padded.groupBy(*slots).agg(F.sum("freq").alias("freq"))
+            if n < max_n:
+                tables[f"contexts{n}"] = _complete(padded, n, "n_next")
+            last = F.col(f"w{n}")
+            padded = padded.groupBy(*_slots(n - 1)).agg(
+                F.sum("freq").alias("freq"),
+                F.count_if(last.isNotNull() & ~is_digit_led(last)).alias("n_next"),
+            )
     return tables
 
 
-def _complete(padded: DataFrame, n: int) -> DataFrame:
+def _complete(padded: DataFrame, n: int, *more: str) -> DataFrame:
     slots = _slots(n)
     named = [F.col(slot).alias(name) for slot, name in zip(slots, words_of(n))]
     full = padded.where(F.col(slots[-1]).isNotNull())
-    return full.select(*named, F.col("freq").alias(FREQ[n]))
+    return full.select(*named, F.col("freq").alias(FREQ[n]), *more)
 
 
 def total(df: DataFrame, freq: str) -> Column:

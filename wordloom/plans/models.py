@@ -25,7 +25,7 @@ from wordloom.operators.mle import (
 from wordloom.operators.ranking import index_words, model_table, top_k, top_ngrams
 from wordloom.workspace import materialize, spread
 
-Tables = Mapping[int, DataFrame]
+Tables = Mapping[int | str, DataFrame]
 
 
 def tokenized(docs: DataFrame, block_list: DataFrame | None = None) -> DataFrame:
@@ -41,7 +41,7 @@ def train_counts(
     max_n: int = 4,
     block_list: DataFrame | None = None,
     folder: str | None = None,
-) -> dict[int, DataFrame]:
+) -> dict[int | str, DataFrame]:
     """Frequency tables of orders 1 .. ``max_n`` of a text corpus, written to ``folder``."""
     keys = ["doc_id"] if "doc_id" in docs.columns else []
     return count_tables(tokenized(docs.select(*keys, "text"), block_list), max_n, folder)
@@ -190,6 +190,23 @@ def ranked_model(
     return model_table(top_k(narrow, words[:-1], k, "prob", words[-1]), n, "prob")
 
 
+def kn_bigrams(
+    tables: Tables, uni: DataFrame, normalizer: str = "tokens", folder: str | None = None
+) -> DataFrame:
+    return bigram_kn(tables[2], uni, normalizer, tables.get("contexts1"), folder)
+
+
+def kn_trigrams(
+    tables: Tables,
+    uni: DataFrame,
+    combine: str = "product",
+    normalizer: str = "tokens",
+    folder: str | None = None,
+) -> DataFrame:
+    contexts = tables.get("contexts2")
+    return trigram_kn(tables[3], tables[2], uni, combine, normalizer, contexts, folder)
+
+
 def kn_model(
     docs: DataFrame | None = None,
     stop_words: Sequence[str] = STOP_WORDS,
@@ -201,8 +218,10 @@ def kn_model(
     """Kneser-Ney model tables and the MLE and interpolated ones built beside them."""
     tables = tables or train_counts(docs, 3, folder=folder)
     uni = unigram_mle(tables[1])
-    bigrams = bigram_kn_interpolated(bigram_kn(tables[2], uni, normalizer))
-    trigrams = trigram_kn(tables[3], tables[2], uni, combine, normalizer)
+    bigrams = materialize(
+        bigram_kn_interpolated(kn_bigrams(tables, uni, normalizer, folder)), "bigram_kn", folder
+    )
+    trigrams = kn_trigrams(tables, uni, combine, normalizer, folder)
     smooth = {
         n: interpolated_top(tables, n, 3, stop_words)
         .drop("prob")

@@ -80,12 +80,14 @@ def _allowed(word: str) -> str:
     )
 
 
-def _top(n: int, k: int, table: str, prob: str, extra: str = "", where: str = "true") -> str:
+def _top(
+    n: int, k: int, table: str, prob: str, extra: str = "", where: str = "true", trim: str = ""
+) -> str:
     context, last = ", ".join(_words(n)[:-1]), _words(n)[-1]
     return (
         f"SELECT {context}, {last} AS word, {prob} AS prob{extra}, CAST(row_number() OVER "
         f"(PARTITION BY {context} ORDER BY {prob} DESC, {last}) AS BIGINT) AS rank FROM {table} "
-        f"WHERE {_allowed(last)} AND {where} QUALIFY rank <= {k}"
+        f"WHERE {_allowed(trim or last)} AND {where} QUALIFY rank <= {k}"
     )
 
 
@@ -147,6 +149,13 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         "/ (SELECT sum(bi_freq) FROM j2)::DOUBLE AS prob_kn "
         "FROM p2 JOIN after2 USING (w1) JOIN before2 USING (w2), d2)",
     ),
+    "kn2_types": (
+        ("p2", "d2", "after2", "before2"),
+        "SELECT w1, w2, (bi_freq::DOUBLE - discount) / uni_freq::DOUBLE "
+        "+ discount / uni_freq::DOUBLE * n_after::DOUBLE * n_before::DOUBLE "
+        "/ (SELECT count(*) FROM j2)::DOUBLE AS prob_kn "
+        "FROM p2 JOIN after2 USING (w1) JOIN before2 USING (w2), d2",
+    ),
     "types12": (("j3",), "SELECT w1, w2, count(*) AS n_w1w2 FROM j3 GROUP BY w1, w2"),
     "suffixed": (
         ("j3", "j2", "c1"),
@@ -217,10 +226,21 @@ def _context(max_n: int) -> tuple[tuple[str, ...], str]:
     return (("phrases",), f"SELECT query_id, t[greatest(len(t) - {max_n - 2}, 1):] AS c FROM phrases")
 
 
-def _backoff(max_n: int) -> str:
+def _backoff(max_n: int, nth: bool = False) -> str:
     tops = tuple(f"top{n}" for n in range(2, max_n + 1))
     found = " UNION ALL ".join(_matches(n, "prob") for n in range(2, max_n + 1))
-    fallback = f"word NOT IN ({_quoted(STOP_WORDS)})" if max_n == 4 else "true"
+    trimmed = f"word NOT IN ({_quoted(STOP_WORDS)})"
+    rank = "CAST(row_number() OVER (ORDER BY uni_freq DESC, word) AS BIGINT) AS position"
+    best = f"SELECT word, uni_prob AS score, {rank} FROM p1 WHERE %s QUALIFY position %s"
+    if nth:
+        fallback = (
+            f"SELECT 3 AS len, word, score, 1::BIGINT AS position FROM ({best % (trimmed, '= 3')}) UNION ALL "
+            f"SELECT 2, word, score, 1::BIGINT FROM ({best % (trimmed, '= 2')}) UNION ALL "
+            f"SELECT 1, word, score, 1::BIGINT FROM ({best % ('true', '= 2')})"
+        )
+    else:
+        chosen = best % (trimmed if max_n == 4 else "true", "<= 3")
+        fallback = f"SELECT len, b.* FROM ({chosen}) b, (SELECT unnest(range(1, {max_n})) AS len)"
     return _with(
         ("states", "kept", "fallback"),
         """
@@ -228,7 +248,8 @@ def _backoff(max_n: int) -> str:
                AS position, word, "order", score
         FROM kept JOIN states USING (query_id) WHERE n_known = n_words
         UNION ALL
-        SELECT query_id, position, word, CAST(1 AS BIGINT), score FROM states, fallback WHERE n_known < n_words
+        SELECT query_id, position, word, CAST(1 AS BIGINT), score FROM states JOIN fallback ON len = n_words
+        WHERE n_known < n_words
         UNION ALL
         SELECT query_id, CAST(1 AS BIGINT), '%s', CAST(0 AS BIGINT), CAST(NULL AS DOUBLE)
         FROM states WHERE n_known = n_words AND query_id NOT IN (SELECT query_id FROM kept)
@@ -246,11 +267,7 @@ def _backoff(max_n: int) -> str:
             "SELECT query_id, len(c) AS n_words, (SELECT count(*) FROM (SELECT unnest(c) AS w) JOIN c1 ON w = word)"
             " AS n_known FROM ctx",
         ),
-        fallback=(
-            ("p1",),
-            "SELECT word, uni_prob AS score, CAST(row_number() OVER (ORDER BY uni_freq DESC, word) AS BIGINT) "
-            f"AS position FROM p1 WHERE {fallback} QUALIFY position <= 3",
-        ),
+        fallback=(("p1",), fallback),
     )
 
 
@@ -295,8 +312,24 @@ def oracle_sql() -> dict[str, str]:
                        count(*) OVER (PARTITION BY source) AS n FROM keyed)
             SELECT doc_id, source, CASE WHEN r <= 2 THEN 'test' ELSE 'train' END AS split
             FROM ranked WHERE r <= ceil(CAST(n AS DOUBLE) * CAST(0.2 AS DOUBLE))""",
+        "sample_records": """
+            WITH keyed AS (SELECT doc_id, source, md5(concat_ws('~', '2345', source, doc_id)) AS key FROM documents)
+            SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY key, doc_id) AS r,
+            count(*) OVER (PARTITION BY source) AS n FROM keyed)
+            WHERE r <= ceil(CAST(n AS DOUBLE) * CAST(0.1 AS DOUBLE))""",
         "clean_text": f"SELECT doc_id, array_to_string({_lines('text')}, chr(10)) AS cleaned FROM documents",
         "tokenize": _with(("tokens",), f"SELECT {spoken.format('t')} FROM tokens"),
+        "tokenize_query": _with(
+            ("phrases",),
+            "SELECT query_id, CAST(len(t) AS BIGINT) AS n_tokens, array_to_string(t, ' ') AS words, "
+            "array_to_string(t[greatest(len(t) - 2, 1):], ' ') AS last_words FROM phrases",
+        ),
+        "ngram_strings": _with(
+            ("positions",),
+            "SELECT concat_ws(' ', a, b, c) AS gram, count(*) AS n, concat_ws(' ', a, b) AS prefix, "
+            "concat_ws(' ', b, c) AS suffix FROM (SELECT t[i] AS a, t[i + 1] AS b, t[i + 2] AS c FROM positions "
+            "WHERE i + 2 <= len(t)) GROUP BY a, b, c",
+        ),
         "remove_features": _with(
             ("tokens", "listed"),
             "SELECT %s FROM (SELECT doc_id, list_filter(t, lambda w: NOT list_contains(words, w)) AS kept "
@@ -320,6 +353,24 @@ def oracle_sql() -> dict[str, str]:
         "tetragram_interpolated": _select(
             "w1, w2, w3, w4, tetra_prob, tri_prob, bi_prob, uni_prob, smooth_prob", "p4"
         ),
+        "bigram_interpolated_target": _with(
+            ("p1", "p2"),
+            "SELECT w1, w2, 0.75::DOUBLE * p2.prob_mle + 0.25::DOUBLE * u.uni_prob AS smooth_prob "
+            "FROM p2 JOIN p1 u ON w2 = word",
+        ),
+        "trigram_interpolated_target": _with(
+            ("p1", "p2", "p3"),
+            "SELECT p3.w1, p3.w2, p3.w3, 0.58::DOUBLE * tri_prob + 0.28::DOUBLE * b.prob_mle "
+            "+ 0.14::DOUBLE * u.uni_prob AS smooth_prob FROM p3 JOIN p2 b ON b.w1 = p3.w2 AND b.w2 = p3.w3 "
+            "JOIN p1 u ON p3.w3 = u.word",
+        ),
+        "tetragram_interpolated_target": _with(
+            ("p1", "p2", "p3", "p4"),
+            "SELECT p4.w1, p4.w2, p4.w3, p4.w4, 0.4::DOUBLE * tetra_prob + 0.3::DOUBLE * t.tri_prob "
+            "+ 0.2::DOUBLE * b.prob_mle + 0.1::DOUBLE * u.uni_prob AS smooth_prob "
+            "FROM p4 JOIN p3 t ON t.w1 = p4.w2 AND t.w2 = p4.w3 AND t.w3 = p4.w4 "
+            "JOIN p2 b ON b.w1 = p4.w3 AND b.w2 = p4.w4 JOIN p1 u ON p4.w4 = u.word",
+        ),
         "scaled_score": _with(
             ("top2", "top3"),
             "SELECT w1 AS context, word, prob, prob * CAST(0.2 AS DOUBLE) AS score FROM top2 UNION ALL "
@@ -353,6 +404,13 @@ def oracle_sql() -> dict[str, str]:
         "bigram_kn": _select("w1, w2, bi_freq, uni_freq, uni_prob, prob_mle, prob_kn", "kn2"),
         "bigram_kn_interpolated": _select("w1, w2, prob_kn, smooth_kn", "kn2"),
         "trigram_kn": _select("w1, w2, w3, tri_freq, bi_freq, kn_part1, kn_part2, prob_kn", "kn3"),
+        "bigram_kn_types": _select("w1, w2, prob_kn", "kn2_types"),
+        "trigram_kn_interpolated": _with(
+            ("kn3", "d3", "types12"),
+            "SELECT k.w1, k.w2, k.w3, (tri_freq::DOUBLE - discount) / bi_freq::DOUBLE "
+            "+ discount / bi_freq::DOUBLE * n_w1w2::DOUBLE * kn_part2 AS prob_kn "
+            "FROM kn3 k JOIN types12 t ON k.w1 = t.w1 AND k.w2 = t.w2, d3",
+        ),
         "top5_bigram_mle": _select("w1, word, prob, rank", "top2"),
         "top5_trigram_mle": _select("w1, w2, word, prob, rank", "top3"),
         "top5_tetragram_mle": _select("w1, w2, w3, word, prob, rank", "top4"),
@@ -382,10 +440,15 @@ def oracle_sql() -> dict[str, str]:
                 "JOIN c3 b ON g.w1 = b.w1 AND g.w2 = b.w2 AND g.w3 = b.w3",
             ),
         ),
+        "decode_words": _with(
+            ("p3",), "SELECT w1, w2, w3, tri_freq, bi_freq, tri_prob FROM p3"
+        ),
+        "trim_first_tetragram_mle": _with(("p4",), top.format(_top(4, 5, "p4", "tetra_prob", trim="w1"))),
         "trim_context_trigram_mle": _with(
             ("p3",), top.format(_top(3, 5, "p3", "tri_prob", where=trim_context))
         ),
         "predict_backoff_trigram": _backoff(3),
         "predict_backoff_tetragram": _backoff(4),
+        "predict_backoff_nth": _backoff(4, nth=True),
         "predict_interpolated": _interpolated(),
     }

@@ -79,6 +79,33 @@ def remove_features(spark, sf_dir):
     return spoken(models.tokenized(documents(spark, sf_dir), listed.distinct()))
 
 
+def sample_records(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "source")
+    return sampling.sample_records(docs, frac=0.1, seed=2345)
+
+
+def tokenize_query(spark, sf_dir):
+    tokens = text.tokenize_query(F.col("text"))
+    last = text.last_tokens(F.col("tokens"), 3)
+    return phrases(spark, sf_dir).select("query_id", tokens.alias("tokens")).select(
+        "query_id",
+        text.token_count(F.col("tokens")).cast("bigint").alias("n_tokens"),
+        F.array_join("tokens", " ").alias("words"),
+        F.array_join(last, " ").alias("last_words"),
+    )
+
+
+def ngram_strings(spark, sf_dir):
+    """Trigrams as text, split and pasted again to their prefix and suffix bigrams."""
+    tokens = models.tokenized(documents(spark, sf_dir))
+    grams = tokens.select(F.explode_outer(text.ngrams(F.col("tokens"), 3)).alias("words"))
+    joined = grams.groupBy(F.array_join("words", " ").alias("gram")).agg(F.count("words").alias("n"))
+    split = joined.where("n > 0").select("gram", "n", *text.split_ngram(F.col("gram"), 3))
+    return split.select(
+        "gram", "n", text.prefix_ngram(3).alias("prefix"), text.suffix_ngram(3).alias("suffix")
+    )
+
+
 def counted(n: int) -> Query:
     return lambda spark, sf_dir: counts.ngram_counts(models.tokenized(documents(spark, sf_dir)), n)
 
@@ -98,6 +125,25 @@ def index_words(spark, sf_dir):
     return ranking.index_words(trained(spark, sf_dir)[1])
 
 
+def target_interpolated(n: int) -> Query:
+    """Interpolation with the predicted word's lower orders instead of the context's."""
+
+    def query(spark, sf_dir):
+        full = models.probabilities(trained(spark, sf_dir), n)
+        lower = {"lower_order": "target", "uni": full[1]}
+        if n == 2:
+            out = mle.bigram_interpolated(full[2].drop("smooth_mle"), **lower)
+            return out.select("w1", "w2", F.col("smooth_mle").alias("smooth_prob"))
+        table = full[n].drop("smooth_prob")
+        if n == 3:
+            out = mle.trigram_interpolated(table, bi=full[2], **lower)
+        else:
+            out = mle.tetragram_interpolated(table, tri=full[3], bi=full[2], **lower)
+        return out.select(*counts.words_of(n), "smooth_prob")
+
+    return query
+
+
 def scaled_score(spark, sf_dir):
     tables = trained(spark, sf_dir)
     parts = []
@@ -159,13 +205,23 @@ def trigram_kn(spark, sf_dir):
     return models.kn_trigrams(tables, mle.unigram_mle(tables[1]))
 
 
+def bigram_kn_types(spark, sf_dir):
+    tables = trained(spark, sf_dir)
+    kn = models.kn_bigrams(tables, mle.unigram_mle(tables[1]), normalizer="types")
+    return kn.select("w1", "w2", "prob_kn")
+
+
+def trigram_kn_interpolated(spark, sf_dir):
+    tables = trained(spark, sf_dir)
+    kn = models.kn_trigrams(tables, mle.unigram_mle(tables[1]), combine="interpolated")
+    return kn.select("w1", "w2", "w3", "prob_kn")
+
+
 # --- model tables ---------------------------------------------------------------------------
 
 
-def mle_top(n: int, k: int = 5, trim_context: bool = False) -> Query:
-    return lambda spark, sf_dir: models.mle_top(
-        trained(spark, sf_dir), n, k, trim_context=trim_context
-    )
+def mle_top(n: int, k: int = 5, **trim) -> Query:
+    return lambda spark, sf_dir: models.mle_top(trained(spark, sf_dir), n, k, **trim)
 
 
 def top_interpolated(n: int, k: int) -> Query:
@@ -195,13 +251,19 @@ def indexed(n: int) -> Query:
     return query
 
 
+def decode_words(spark, sf_dir):
+    tables = trained(spark, sf_dir)
+    out = models.indexed_tables(tables[1], tables[2], tables[3])
+    return models.decode_words(out[3], out[1])
+
+
 # --- prediction -----------------------------------------------------------------------------
 
 
-def predict_backoff(max_n: int) -> Query:
+def predict_backoff(max_n: int, oov: str = "top3") -> Query:
     def query(spark, sf_dir):
         model = trained_model(spark, sf_dir, "mle")
-        return predict.predict_backoff(phrases(spark, sf_dir), model, max_n)
+        return predict.predict_backoff(phrases(spark, sf_dir), model, max_n, oov)
 
     return query
 
@@ -213,9 +275,12 @@ def predict_interpolated(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "sample_train_test": sample_train_test,
+    "sample_records": sample_records,
     "clean_text": clean_text,
     "tokenize": tokenize,
+    "tokenize_query": tokenize_query,
     "remove_features": remove_features,
+    "ngram_strings": ngram_strings,
     "unigram_counts": counted(1),
     "bigram_counts": counted(2),
     "trigram_counts": counted(3),
@@ -230,6 +295,9 @@ QUERIES: dict[str, Query] = {
     "tetragram_interpolated": probability(
         4, "tetra_prob", "tri_prob", "bi_prob", "uni_prob", "smooth_prob"
     ),
+    "bigram_interpolated_target": target_interpolated(2),
+    "trigram_interpolated_target": target_interpolated(3),
+    "tetragram_interpolated_target": target_interpolated(4),
     "scaled_score": scaled_score,
     "trim_stop_words": trim_stop_words,
     "noise_words": noise_words,
@@ -240,7 +308,9 @@ QUERIES: dict[str, Query] = {
     "discounts": per_order(counts.discount),
     "bigram_kn": bigram_kn,
     "bigram_kn_interpolated": bigram_kn_interpolated,
+    "bigram_kn_types": bigram_kn_types,
     "trigram_kn": trigram_kn,
+    "trigram_kn_interpolated": trigram_kn_interpolated,
     "top5_bigram_mle": mle_top(2),
     "top5_trigram_mle": mle_top(3),
     "top5_tetragram_mle": mle_top(4),
@@ -253,8 +323,11 @@ QUERIES: dict[str, Query] = {
     "indexed_bigrams": indexed(2),
     "indexed_trigrams": indexed(3),
     "indexed_tetragrams": indexed(4),
+    "decode_words": decode_words,
     "trim_context_trigram_mle": mle_top(3, trim_context=True),
+    "trim_first_tetragram_mle": mle_top(4, trim_on="w1"),
     "predict_backoff_trigram": predict_backoff(3),
     "predict_backoff_tetragram": predict_backoff(4),
+    "predict_backoff_nth": predict_backoff(4, "nth"),
     "predict_interpolated": predict_interpolated,
 }

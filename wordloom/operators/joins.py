@@ -40,21 +40,19 @@ def context_join(
     salt_by: Sequence[str],
     counts: DataFrame,
     freq: str,
-    size_of: DataFrame | None = None,
     split_hot: bool = True,
 ) -> DataFrame:
     """Inner join of ``grams`` (many rows per key) with ``lower`` (one row per key).
 
     ``counts`` holds ``keys`` and their ``freq``, an upper bound of the rows per key. In a large
     join each hot key is split over a number of tasks in proportion to its share: its rows get a
-    salt from ``salt_by``, and its one ``lower`` row is repeated per salt. ``size_of`` stands for
-    the size of ``grams`` if that is itself the result of joins. ``split_hot=False`` is for
+    salt from ``salt_by``, and its ``lower`` row is repeated per salt. ``split_hot=False`` is for
     ``grams`` with few rows under any key.
     """
     keys = list(keys)
     if not split_hot:
         return grams.join(lower, keys)
-    nbytes = estimated_bytes(grams if size_of is None else size_of)
+    nbytes = estimated_bytes(grams)
     if nbytes < SALT_ABOVE_BYTES:
         return grams.join(lower, keys)
     hot = F.broadcast(hot_keys(counts, keys, freq, _partitions(grams, nbytes)))

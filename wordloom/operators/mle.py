@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wordloom.functions.text import has_digit_led_word
-from wordloom.operators.counts import total
+from wordloom.operators.counts import FREQ, total, words_of
 from wordloom.operators.joins import context_join
 
 # Interpolation weights, highest order first.
@@ -67,7 +67,7 @@ def bigram_mle(
     """
     first = uni.select(F.col("word").alias("w1"), "uni_freq", "uni_prob")
     known = in_vocabulary(c2, ["w1", "w2"], vocabulary)
-    joined = context_join(known, first, ["w1"], ["w2"], first, "uni_freq", c2, not ranked)
+    joined = context_join(known, first, ["w1"], ["w2"], first, "uni_freq", not ranked)
     return joined.withColumn("prob_mle", ratio("bi_freq", "uni_freq"))
 
 
@@ -86,7 +86,7 @@ def trigram_mle(
     lower = bi.select(*context, "bi_freq", *carried)
     known = in_vocabulary(c3, [*context, "w3"], vocabulary)
     counts = bi if counts is None else counts
-    joined = context_join(known, lower, context, ["w3"], counts, "bi_freq", c3, not ranked)
+    joined = context_join(known, lower, context, ["w3"], counts, "bi_freq", not ranked)
     return joined.withColumn("tri_prob", ratio("tri_freq", "bi_freq"))
 
 
@@ -103,15 +103,20 @@ def tetragram_mle(
     lower = tri.select(*context, "tri_freq", *carried)
     known = in_vocabulary(c4, [*context, "w4"], vocabulary)
     counts = tri if counts is None else counts
-    joined = context_join(known, lower, context, ["w4"], counts, "tri_freq", c4, not ranked)
+    joined = context_join(known, lower, context, ["w4"], counts, "tri_freq", not ranked)
     return joined.withColumn("tetra_prob", ratio("tetra_freq", "tri_freq"))
 
 
-def _shifted(df: DataFrame, n: int, by: int, prob: str, alias: str) -> DataFrame:
-    """A lower-order table keyed by the last words of a longer n-gram."""
-    first = ["word"] if n == 1 else [f"w{i}" for i in range(1, n + 1)]
-    names = [F.col(name).alias(f"w{i + 1 + by}") for i, name in enumerate(first)]
-    return df.select(*names, F.col(prob).alias(alias))
+def _join_shifted(
+    grams: DataFrame, lower: DataFrame, n: int, by: int, prob: str, alias: str
+) -> DataFrame:
+    """Attach ``prob`` of the n-gram that starts ``by`` words later in each row of ``grams``."""
+    names = [F.col(w).alias(f"w{i + by}") for i, w in enumerate(words_of(n), 1)]
+    keys = [f"w{i + by}" for i in range(1, n + 1)]
+    shifted = lower.select(*names, F.col(prob).alias(alias))
+    counts = lower.select(*names, FREQ[n])
+    others = [w for w in grams.columns if w in ("w1", "w2", "w3", "w4") and w not in keys]
+    return context_join(grams, shifted, keys, others, counts, FREQ[n])
 
 
 def _check(lower_order: str, *tables: DataFrame | None) -> None:
@@ -132,7 +137,7 @@ def bigram_interpolated(
     _check(lower_order, uni)
     if lower_order == "context":
         return bi.withColumn("smooth_mle", weighted(weights, F.col("prob_mle"), F.col("uni_prob")))
-    joined = bi.join(_shifted(uni, 1, 1, "uni_prob", "target_uni"), "w2")
+    joined = _join_shifted(bi, uni, 1, 1, "uni_prob", "target_uni")
     smooth = weighted(weights, F.col("prob_mle"), F.col("target_uni"))
     return joined.withColumn("smooth_mle", smooth).select(*bi.columns, "smooth_mle")
 
@@ -150,9 +155,8 @@ def trigram_interpolated(
     joined = tri
     if lower_order == "target":
         probs = ["tri_prob", "target_bi", "target_uni"]
-        joined = tri.join(_shifted(bi, 2, 1, "prob_mle", "target_bi"), ["w2", "w3"]).join(
-            _shifted(uni, 1, 2, "uni_prob", "target_uni"), "w3"
-        )
+        joined = _join_shifted(tri, bi, 2, 1, "prob_mle", "target_bi")
+        joined = _join_shifted(joined, uni, 1, 2, "uni_prob", "target_uni")
     smooth = weighted(weights, *[F.col(p) for p in probs])
     return joined.withColumn("smooth_prob", smooth).select(*tri.columns, "smooth_prob")
 
@@ -171,11 +175,9 @@ def tetragram_interpolated(
     joined = tetra
     if lower_order == "target":
         probs = ["tetra_prob", "target_tri", "target_bi", "target_uni"]
-        joined = (
-            tetra.join(_shifted(tri, 3, 1, "tri_prob", "target_tri"), ["w2", "w3", "w4"])
-            .join(_shifted(bi, 2, 2, "prob_mle", "target_bi"), ["w3", "w4"])
-            .join(_shifted(uni, 1, 3, "uni_prob", "target_uni"), "w4")
-        )
+        joined = _join_shifted(tetra, tri, 3, 1, "tri_prob", "target_tri")
+        joined = _join_shifted(joined, bi, 2, 2, "prob_mle", "target_bi")
+        joined = _join_shifted(joined, uni, 1, 3, "uni_prob", "target_uni")
     smooth = weighted(weights, *[F.col(p) for p in probs])
     return joined.withColumn("smooth_prob", smooth).select(*tetra.columns, "smooth_prob")
 

@@ -284,10 +284,23 @@ def _indexed(
     words = words_of(n)
     context, last = words[:-1], words[-1]
     known = in_vocabulary(counts, words)
-    joined = context_join(known, lower, context, [last], contexts, FREQ[n - 1], counts)
+    joined = context_join(known, lower, context, [last], contexts, FREQ[n - 1])
     ids = dictionary.select(F.col("word").alias(last), F.col("word_int").alias(f"{last}_int"))
     freqs = dictionary.select(F.col("word").alias(last), F.col("uni_freq"))
-    return context_join(joined, ids, [last], context, freqs, "uni_freq", counts)
+    return context_join(joined, ids, [last], context, freqs, "uni_freq")
+
+
+def decode_words(encoded: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Replace the id columns ``w<i>_int`` of a table by their words."""
+    out = encoded
+    for name in [c for c in encoded.columns if c.endswith("_int")]:
+        word = name.removesuffix("_int")
+        ids = dictionary.select(F.col("word_int").alias(name), F.col("word").alias(word))
+        freqs = dictionary.select(F.col("word_int").alias(name), "uni_freq")
+        others = [c for c in encoded.columns if c.endswith("_int") and c != name]
+        salt_by = [c.removesuffix("_int") if c not in out.columns else c for c in others] or [name]
+        out = context_join(out, ids, [name], salt_by, freqs, "uni_freq").drop(name)
+    return out
 
 
 def _measures(n: int) -> list[Column]:

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -26,14 +27,55 @@ def test_cleaning_cases(spark):
     assert column(spark, [a for a, _ in CLEANING], text.clean_text) == [b for _, b in CLEANING]
 
 
-def test_one_pass_over_a_record_equals_cleaning_each_line(spark):
+def clean_by_rule(line):
+    """The cleaning rules one after the other, on one line."""
+    line = line.lower()
+    line = re.sub(r"[/@|]", " ", line)
+    line = line.replace("-", " ").replace("<>", "'")
+    for mark in (r"\.", r"\?", "!"):
+        line = re.sub(f"{mark} |{mark}\\Z", " ", line)
+    line = line.replace("<85>", " ").replace("<92>", "'").replace("&", " and ")
+    line = "".join(c if c.isalnum() or c.isspace() or c in "'<>" else " " for c in line)
+    line = re.sub(" www(.+) ", " ", line)
+    return re.sub(" [b-hj-z] ", " ", line)
+
+
+def words_by_rule(cleaned):
+    stripped = [w.strip("'<>") for w in cleaned.split()]
+    return [w for w in stripped if w and not re.fullmatch("[0-9]+", w)]
+
+
+def test_one_pass_over_a_record_equals_the_rules_on_each_line(spark):
     rng = random.Random(7)
-    alphabet = [" ", " ", "\n", ".", "?", "!", "a", "b", "c", "é", "7", "'", "<", ">", "-", "/", "&", "www", "<85>"]
-    texts = ["".join(rng.choices(alphabet, k=rng.randrange(60))) for _ in range(3000)]
-    df = spark.createDataFrame([(t,) for t in texts], "text string")
-    per_line = F.array_join(F.transform(F.split("text", "\n"), text.clean_text), "\n")
-    differ = df.select("text", text.clean_text(F.col("text")).alias("a"), per_line.alias("b"))
-    assert differ.where("a <> b").count() == 0
+    parts = [" ", " ", " ", "\n", ".", "?", "!", "a", "b", "c", "é", "7", "45", "'", "<", ">", "-", "/",
+             "@", "|", "&", "www", " www.x", "<85>", "<92>", "<>", "_", "word"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(40))) for _ in range(20000)]
+    cleaned = ["\n".join(map(clean_by_rule, t.split("\n"))) for t in texts]
+    rows = [(t, c, words_by_rule(c)) for t, c in zip(texts, cleaned)]
+    df = spark.createDataFrame(rows, "text string, cleaned string, tokens array<string>")
+    got = text.clean_text(F.col("text"))
+    wrong = df.where((got != F.col("cleaned")) | (text.tokenize(got) != F.col("tokens")))
+    assert wrong.collect() == []
+
+
+def test_query_words_equal_the_rules(spark):
+    rng = random.Random(11)
+    parts = [" ", " ", "a", "é", "7", "'", "-", "<", ".", "word", "_", "\n"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(20))) for _ in range(5000)]
+    rows = []
+    for t in texts:
+        spaced = "".join(c if c.isalnum() or c.isspace() or c in "'-" else " " for c in t.lower())
+        words_ = [w.strip("'-") for w in spaced.split()]
+        rows.append((t, [w for w in words_ if w and not re.fullmatch("[0-9]+", w)]))
+    df = spark.createDataFrame(rows, "text string, tokens array<string>")
+    assert df.where(text.tokenize_query(F.col("text")) != F.col("tokens")).collect() == []
+
+
+def test_long_runs_of_marks(spark):
+    """Linear time on junk: a quadratic pattern would not come back."""
+    junk = ">" * 400_000 + "x" + "'" * 400_000
+    got = column(spark, [junk, "." * 400_000 + "x"], lambda c: text.tokenize(text.clean_text(c)))
+    assert got == [["x"], ["x"]]
 
 
 def test_line_ends(spark):

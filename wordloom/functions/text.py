@@ -15,14 +15,20 @@ MAX_INLINE_WORDS = 10_000
 
 # The patterns of the cleaning chain. A record may hold several physical lines and
 # every rule applies per line; the line end is spelled out so that one pass covers all lines.
+# Slash, at, pipe and hyphen become spaces together with all other non-text characters. The only
+# earlier rules that look at a space are those for sentence marks, so these accept the four as one.
 LINE_END = r"(?=[\r\n]|\z)"
 SENTENCE_MARKS = [r"\.", r"\?", "!"]
+SPACED = "[ /@|-]"
 NOT_TEXT = r"[^\p{L}\p{N}\s'<>]"
 WEB_ADDRESS = " www(.+) "
 SINGLE_LETTER = " [b-hj-z] "
-# Tokens: outer quotes and angle brackets go, and so do tokens made of digits only.
-OUTER_MARKS = r"(?<!\S)['<>]+|['<>]+(?!\S)"
-NUMBER = r"(?<!\S)['<>]*[0-9]+['<>]*(?!\S)"
+# What lies between two tokens: white space with the outer quotes and angle brackets of both
+# neighbours, and any tokens made of digits only. A run of marks is tried once, at its start.
+MARKS = "['<>]"
+BETWEEN_WORDS = (
+    rf"(?:(?<!{MARKS}){MARKS}++)?\s++{MARKS}*+(?:[0-9]++{MARKS}*+\s++{MARKS}*+)*+"
+)
 # Queries are not cleaned: other punctuation separates words, inner quotes and hyphens stay.
 QUERY_PUNCTUATION = r"[^\p{L}\p{N}\s'-]"
 QUERY_OUTER_MARKS = r"(?<!\S)['-]+|['-]+(?!\S)"
@@ -31,10 +37,9 @@ QUERY_NUMBER = r"(?<!\S)['-]*[0-9]+['-]*(?!\S)"
 
 def clean_text(text: Column) -> Column:
     """The ordered cleaning chain, applied to each physical line of the record."""
-    out = F.translate(F.lower(text), "/@|-", "    ")
-    out = F.replace(out, F.lit("<>"), F.lit("'"))
+    out = F.replace(F.lower(text), F.lit("<>"), F.lit("'"))
     for mark in SENTENCE_MARKS:
-        out = F.regexp_replace(out, f"{mark} |{mark}{LINE_END}", " ")
+        out = F.regexp_replace(out, f"{mark}(?:{SPACED}|{LINE_END})", " ")
     out = F.replace(out, F.lit("<85>"), F.lit(" "))
     out = F.replace(out, F.lit("<92>"), F.lit("'"))
     out = F.replace(out, F.lit("&"), F.lit(" and "))
@@ -43,19 +48,20 @@ def clean_text(text: Column) -> Column:
     return F.regexp_replace(out, SINGLE_LETTER, " ")
 
 
-def _words(text: Column) -> Column:
-    return F.array_remove(F.split(text, r"\s+"), "")
-
-
 def tokenize(cleaned: Column) -> Column:
-    """Words of cleaned text: outer marks stripped, pure numbers and empty tokens dropped."""
-    return _words(F.regexp_replace(F.lower(cleaned), f"{NUMBER}|{OUTER_MARKS}", ""))
+    """Words of cleaned text: outer marks stripped, pure numbers and empty tokens dropped.
+
+    One split does all of it; the spaces around the text make its two ends like any other place.
+    """
+    padded = F.concat(F.lit(" "), F.lower(cleaned), F.lit(" "))
+    return F.array_remove(F.split(padded, BETWEEN_WORDS), "")
 
 
 def tokenize_query(text: Column) -> Column:
     """Words of a query phrase, which is not cleaned: hyphens inside a word stay."""
     spaced = F.regexp_replace(F.lower(text), QUERY_PUNCTUATION, " ")
-    return _words(F.regexp_replace(spaced, f"{QUERY_NUMBER}|{QUERY_OUTER_MARKS}", ""))
+    bare = F.regexp_replace(spaced, f"{QUERY_NUMBER}|{QUERY_OUTER_MARKS}", "")
+    return F.array_remove(F.split(bare, r"\s+"), "")
 
 
 def remove_features(tokens: Column, words: Sequence[str]) -> Column:

@@ -178,6 +178,43 @@ def test_interpolated_predictions(phrases, micro):
     assert words(got[5]) == [predict.EMPTY_MESSAGE]
 
 
+def test_a_hot_phrase_is_split(spark, micro, monkeypatch):
+    """A third of all phrases end alike: same answers, over many tasks."""
+    from wordloom.operators import joins
+
+    hot = "if(id % 3 = 0, 'red fox', if(id % 3 = 1, concat('x', id), 'fox red'))"
+    many = spark.range(600).selectExpr("id as query_id", f"{hot} as text")
+    model = models.mle_model(tables=micro, max_n=3, stop_words=())
+    plain = answers(predict.predict_backoff(many, model, 3))
+    monkeypatch.setattr(joins, "SALT_ABOVE_BYTES", 0)
+    monkeypatch.setattr(joins, "_partitions", lambda df, nbytes: 64)
+    assert answers(predict.predict_backoff(many, model, 3)) == plain
+    assert len(plain) == 600 and words(plain[0]) == ["ran", "red", "sat"]
+    smooth = models.interpolated_model(tables=micro, stop_words=())
+    got = answers(predict.predict_interpolated(many, smooth))
+    assert len(got) == 600 and words(got[0]) == ["ran", "red", "sat"]
+
+
+def test_written_model(spark, micro, phrases):
+    model = models.mle_model(tables=micro, max_n=3, stop_words=())
+    written = models.save_model(model)
+    assert answers(predict.predict_backoff(phrases, written)) == answers(
+        predict.predict_backoff(phrases, model)
+    )
+
+
+def test_lookup(spark, micro):
+    top = models.mle_top(micro, 2, stop_words=())
+    contexts = spark.createDataFrame([("fox",), ("ran",)], "w1 string")
+    assert {r.word for r in predict.lookup(top, contexts, ["w1"]).collect()} == {"ran", "red", "sat"}
+
+
+def test_decode_words(micro):
+    out = models.indexed_tables(micro[1], micro[2], micro[3])
+    got = {(r.w1, r.w2, r.w3): r.tri_freq for r in models.decode_words(out[3], out[1]).collect()}
+    assert got == {tuple(r)[:3]: r.tri_freq for r in micro[3].collect()}
+
+
 def test_scaled_score(micro):
     top = models.mle_top(micro, 2, stop_words=())
     got = mle.scaled_score(top, mle.BIGRAM_SCALE).where("w1 = 'red'").first()

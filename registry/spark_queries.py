@@ -10,6 +10,7 @@ from wordloom.functions import text, words
 from wordloom.operators import counts, kneser_ney, mle, ranking, sampling
 from wordloom.plans import models, predict
 from wordloom.sources.files import read_documents
+from wordloom.workspace import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,7 +65,7 @@ def sample_train_test(spark, sf_dir):
 
 
 def clean_text(spark, sf_dir):
-    docs = documents(spark, sf_dir)
+    docs = spread(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
     return docs.select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
 
 

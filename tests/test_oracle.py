@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from registry import oracle, spark_queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = spark_queries.QUERIES, oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +23,7 @@ def db():
 
 def test_every_query_has_an_oracle():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= entry.queries().keys() and SQL.keys() <= entry.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -6,20 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordloom.llm import near_dedup
+from wordloom.llm import near_dedup, token_counts, token_planes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_planes.read_digests(*token_planes.write_blocks(table(spark, sf_dir, "documents")))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return near_dedup.near_duplicates(docs, width=3, percent=85)
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_token_planes": op3_token_planes,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE: dict[str, str] = {}

@@ -6,10 +6,12 @@
 3. In every band bucket each class is paired with the bucket's smallest class only. Pairs whose
    packed bits make the wanted similarity implausible go; the others are decided on full sets.
 4. Buckets that still hold several components have those compared inside tasks, again by packed
-   bits, which finds links that the star of step 3 cannot show. All survivors are decided on full
-   sets. Large buckets are dealt out in pairs of blocks.
+   bits, which finds links that the star of step 3 cannot show. A class with a plausible partner
+   in another component visits that component: it is compared with the full sets of all members
+   at once and yields one link at most, for the members are joined already.
 
-No pair of equal sets is ever made, and no group is collected whole unless it fits a block.
+Large buckets and components are dealt out in blocks. No pair of equal sets is ever made, the
+pairs of a group are never all written out, and no group is collected whole unless it fits a block.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ LONGS = MINIMA * BITS // 64
 ESTIMATE_MARGIN = 0.185
 # Classes of one bucket compared within one task; larger buckets are dealt out in block pairs.
 BLOCK = 4096
+# Shingles of a component, and of its visitors, held by one task at a time.
+BLOCK_SHINGLES = 1 << 20
 
 _FACTORS = np.random.Generator(np.random.PCG64(7)).integers(
     0, 1 << 32, MINIMA, dtype=np.uint32
@@ -206,36 +210,39 @@ def _plausible(a: np.ndarray, b: np.ndarray, least: float) -> tuple[np.ndarray,
 
 
 def _cross(batch: pa.Table, least: float) -> pa.Table:
-    """Plausible pairs between the components of one bucket, or between two of its blocks."""
+    """Visits between the components of one bucket, or of two of its blocks.
+
+    A node of the component with fewer classes visits the other one if their packed bits allow a
+    link to any of its nodes in the bucket; equal sizes are told apart by the root.
+    """
     nodes, roots = batch.column("node").to_pylist(), batch.column("root").to_pylist()
     blocks = np.array(batch.column("block").to_pylist())
     longs = np.array(batch.column("bits").to_pylist(), dtype=np.int64).view(np.uint64)
     shifts = np.arange(0, 64, BITS, dtype=np.uint64)
     cells = ((longs[:, :, None] >> shifts) & np.uint64((1 << BITS) - 1)).astype(np.uint8)
     cells = cells.reshape(len(nodes), MINIMA)
-    number = {root: k for k, root in enumerate(dict.fromkeys(roots))}
+    ranks = sorted(set(zip(batch.column("size").to_pylist(), roots)))
+    number = {root: k for k, (_, root) in enumerate(ranks)}
     comp = np.array([number[root] for root in roots])
-    found = set()
     if len(set(blocks.tolist())) > 1:
-        low = np.flatnonzero(blocks == blocks.min())
-        high = np.flatnonzero(blocks != blocks.min())
-        i, j = _plausible(cells[low], cells[high], least)
-        i, j = low[i], high[j]
+        left, right = np.flatnonzero(blocks == blocks.min()), np.flatnonzero(blocks != blocks.min())
     else:
-        # All against all but inside the largest component, whose rows need no partner there.
-        largest = np.bincount(comp).argmax()
-        rest = np.flatnonzero(comp != largest)
-        i, j = _plausible(cells[rest], cells, least) if len(rest) else (rest, rest)
-        i = rest[i]
-    for x, y in zip(i.tolist(), j.tolist()):
-        if comp[x] != comp[y]:
-            found.add((min(nodes[x], nodes[y]), max(nodes[x], nodes[y])))
-    a, b = zip(*found) if found else ((), ())
-    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+        # All against all, but rows of the greatest component need no partner inside it.
+        left, right = np.flatnonzero(comp != comp.max()), np.arange(len(nodes))
+    found = set()
+    if len(left) and len(right):
+        i, j = _plausible(cells[left], cells[right], least)
+        i, j = left[i], right[j]
+        for x, y in ((i, j), (j, i)):
+            up = comp[x] < comp[y]
+            found.update(np.unique(x[up] * len(ranks) + comp[y[up]]).tolist())
+    visits = [(nodes[x // len(ranks)], ranks[x % len(ranks)][1]) for x in found]
+    node, root = zip(*visits) if visits else ((), ())
+    return pa.table({"node": pa.array(node, pa.binary()), "root": pa.array(root, pa.binary())})
 
 
-def cross_pairs(open_rows: DataFrame, least: float) -> DataFrame:
-    """Plausible pairs of different components in each bucket of ``key, n, node, root, bits``.
+def visits(open_rows: DataFrame, least: float) -> DataFrame:
+    """Which node visits which component, from buckets ``key, n, node, root, size, bits``.
 
     A bucket within BLOCK rows is one task's group. A larger one is dealt into b blocks, and every
     pair of blocks is a group of its own, so its work is spread over b * (b + 1) / 2 groups.
@@ -249,13 +256,75 @@ def cross_pairs(open_rows: DataFrame, least: float) -> DataFrame:
         "high", F.greatest("block", "other")
     )
     return (
-        dealt.select("key", "low", "high", "block", "node", "root", "bits")
+        dealt.select("key", "low", "high", "block", "node", "root", "size", "bits")
         .groupBy("key", "low", "high")
-        .applyInArrow(lambda table: _cross(table, least), "a binary, b binary")
+        .applyInArrow(lambda table: _cross(table, least), "node binary, root binary")
         .distinct()
     )
 
 
+def _receive(batch: pa.Table, percent: int) -> pa.Table:
+    """One link of each visitor to a member of the block that it is similar enough to, if any."""
+    visiting = np.array(batch.column("visiting").to_pylist(), dtype=bool)
+    nodes, sets = batch.column("node").to_pylist(), batch.column("members").to_pylist()
+    sets = [np.frombuffer(one, dtype=np.uint64) for one in sets]
+    home = np.flatnonzero(~visiting)
+    found = []
+    if len(home) and visiting.any():
+        sizes = np.array([len(sets[i]) for i in home])
+        shingles = np.concatenate([sets[i] for i in home])
+        order = np.argsort(shingles, kind="stable")
+        shingles, owner = shingles[order], np.repeat(np.arange(len(home)), sizes)[order]
+        for x in np.flatnonzero(visiting).tolist():
+            low = np.searchsorted(shingles, sets[x], side="left")
+            hits = np.searchsorted(shingles, sets[x], side="right") - low
+            ends = np.cumsum(hits)
+            at = np.repeat(low - ends + hits, hits) + np.arange(int(ends[-1]))
+            common = np.bincount(owner[at], minlength=len(home))
+            near = np.flatnonzero(100 * common >= percent * (sizes + len(sets[x]) - common))
+            if len(near):
+                found.append((nodes[x], nodes[home[near[0]]]))
+    a, b = zip(*found) if found else ((), ())
+    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+
+def visit_links(visited: DataFrame, rooted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` that the visits ``node, root`` find among the members of the components.
+
+    Members of a component are dealt into blocks and its visitors into slices by the number of
+    their shingles; every slice meets every block.
+    """
+    sized = sets.withColumn("weight", F.octet_length("members") / 8)
+    home = rooted.select("node", "root").join(visited.select("root").distinct(), "root")
+    home, guests = home.join(sized, "node"), visited.join(sized, "node")
+
+    def shares(rows: DataFrame, name: str) -> DataFrame:
+        count = F.ceil(F.sum("weight") / F.lit(BLOCK_SHINGLES)).cast("int")
+        return rows.groupBy("root").agg(count.alias(name))
+
+    dealt = materialize(shares(home, "blocks").join(shares(guests, "slices"), "root"), "dealt")
+
+    def spread(rows: DataFrame, own: str, other: str, visiting: bool) -> DataFrame:
+        rows = rows.join(dealt, "root")
+        number = {
+            own: F.pmod(F.xxhash64("node"), F.col(own)).cast("int"),
+            other: F.explode(F.sequence(F.lit(0), F.col(other) - 1)),
+        }
+        return rows.select(
+            "root",
+            number["blocks"].alias("block"),
+            number["slices"].alias("slice"),
+            F.lit(visiting).alias("visiting"),
+            "node",
+            "members",
+        )
+
+    met = spread(home, "blocks", "slices", False).unionByName(spread(guests, "slices", "blocks", True))
+    return met.groupBy("root", "block", "slice").applyInArrow(
+        lambda table: _receive(table, percent), "a binary, b binary"
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -308,13 +377,15 @@ def near_duplicates(
     roots = connected_components(links)
 
     # What the stars left apart within a bucket.
-    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    apart = needed.select("node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = apart.groupBy("root").agg(F.count("*").alias("size"))
+    apart = materialize(apart.join(sizes, "root").select("node", "root", "size"), "apart")
+    rooted = members.join(apart, "node")
     mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     mixed = mixed.where("low <> high").select("key")
     open_rows = rooted.join(mixed, "key").join(bits, "node")
-    tested = star.unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    left = cross_pairs(open_rows, least).join(tested, ["a", "b"], "left_anti")
-    links = links.unionByName(confirmed(left, sets, percent))
+    visited = materialize(visits(open_rows, least), "visits")
+    links = links.unionByName(visit_links(visited, apart, sets, percent))
     roots = connected_components(links)
 
     # A component's id is the smallest document id of its classes.

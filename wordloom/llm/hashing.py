@@ -12,6 +12,7 @@ import numpy as np
 
 # Bytes handled at once; the power tables stay in the processor's cache at this size.
 PIECE = 1 << 18
+ALL_ONES = np.uint64((1 << 64) - 1)
 
 _seeded = np.random.Generator(np.random.PCG64(20240229))
 TABLE = _seeded.integers(0, 1 << 64, 256, dtype=np.uint64)

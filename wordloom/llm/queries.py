@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordloom.llm import near_dedup, token_counts, token_planes
+from wordloom.llm import near_dedup, suffix_dedup, token_counts, token_planes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op3_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.read_digests(*token_planes.write_blocks(table(spark, sf_dir, "documents")))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return near_dedup.near_duplicates(docs, width=3, percent=85)
@@ -28,6 +32,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_planes": op3_token_planes,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op10_token_counts": op10_token_counts,
 }

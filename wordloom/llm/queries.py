@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordloom.llm import near_dedup, suffix_dedup, token_counts, token_planes
+from wordloom.llm import near_dedup, suffix_dedup, token_counts, token_planes, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op5_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return near_dedup.near_duplicates(docs, width=3, percent=85)
@@ -33,6 +38,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_planes": op3_token_planes,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_toxic_segments": op5_toxic_segments,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op10_token_counts": op10_token_counts,
 }

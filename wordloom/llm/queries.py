@@ -4,9 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wordloom.llm import near_dedup, suffix_dedup, token_counts, token_planes, toxicity
+from wordloom.llm import (
+    near_dedup,
+    source_mix,
+    suffix_dedup,
+    token_counts,
+    token_planes,
+    toxicity,
+    url_filter,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,11 +34,29 @@ def op5_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+# The rules of the query: host, path, verdict.
+URL_RULES = """
+    VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+           ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+"""
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql(f"SELECT * FROM ({URL_RULES}) AS rules(host, path, verdict)")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return near_dedup.near_duplicates(docs, width=3, percent=85)
 
 
+def op9_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = source_mix.copies(table(spark, sf_dir, "documents"))
+    taken = (F.col("size") * F.col("n_copies")).alias("taken")
+    return counted.select("doc_id", "size", "source_size", "target", taken)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
@@ -39,8 +65,64 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_planes": op3_token_planes,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_toxic_segments": op5_toxic_segments,
+    "op6_url_filter": op6_url_filter,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op9_systematic_mix": op9_systematic_mix,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE: dict[str, str] = {}
+WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
+
+ORACLE: dict[str, str] = {
+    "op6_url_filter": r"""
+        WITH given AS (
+            SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://')
+                            THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        split AS (
+            SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                      'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) AS path FROM given),
+        rules(rhost, rpath, verdict) AS (
+            VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+                   ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+        places AS (SELECT DISTINCT host, path FROM split),
+        best AS (
+            SELECT host, path, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
+                   arg_max(verdict, length(rhost || rpath)) AS verdict
+            FROM places JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+            GROUP BY ALL)
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+        FROM split LEFT JOIN best USING (host, path)
+    """,
+    "op9_systematic_mix": f"""
+        WITH sized AS (
+            SELECT doc_id, source, {WORDS} AS size FROM documents),
+        sources AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                   [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight
+            FROM sized GROUP BY source),
+        capped AS (SELECT *, 2.0::DOUBLE * source_size AS cap FROM sources),
+        levels AS (
+            SELECT *, cap / weight AS ratio,
+                   (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (
+                       ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                   / sum(weight) OVER (
+                       ORDER BY cap / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+            FROM capped),
+        targets AS (
+            SELECT source, source_size,
+                   CASE WHEN level >= ratio THEN cap ELSE least(cap, weight * (
+                       SELECT arg_min(level, ratio) FROM levels WHERE level < ratio)) END AS target
+            FROM levels),
+        ranked AS (
+            SELECT doc_id, size, s.source, source_size, target, row_number() OVER (
+                PARTITION BY s.source ORDER BY length(size::VARCHAR) * 100 + substr(size::VARCHAR, 1, 2)::INT,
+                substr(md5(doc_id::VARCHAR), 1, 1), size, doc_id) AS rank,
+                ('0x' || substr(md5('mix-1:' || coalesce('=' || s.source, 'null')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS start
+            FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+        SELECT doc_id, size::BIGINT AS size, source_size, target,
+               size::BIGINT * CASE WHEN source_size > 0 THEN floor(start + target / source_size * rank)
+               - floor(start + target / source_size * (rank - 1)) ELSE 0 END::BIGINT AS taken
+        FROM ranked
+    """,
+}

@@ -3,12 +3,14 @@
 1. One pass over the texts makes, per document, the size and digest of its shingle set, the
    low bits of its minima packed into longs, and one key per band of minima.
 2. Documents with equal sets form one class, so copies cost one row from here on.
-3. In every band bucket each class is paired with the bucket's smallest class only. Pairs whose
+3. In every band bucket each class is paired with one class of it only, its hub. Pairs whose
    packed bits make the wanted similarity implausible go; the others are decided on full sets.
 4. Buckets that still hold several components have those compared inside tasks, again by packed
    bits, which finds links that the star of step 3 cannot show. A class with a plausible partner
    in another component visits that component: it is compared with the full sets of all members
-   at once and yields one link at most, for the members are joined already.
+   at once and yields one link at most, for the members are joined already. The first round visits
+   the greatest component of each bucket only, which settles nearly all of them; the second visits
+   every component.
 
 Large buckets and components are dealt out in blocks. No pair of equal sets is ever made, the
 pairs of a group are never all written out, and no group is collected whole unless it fits a block.
@@ -33,6 +35,9 @@ BANDS, ROWS = 32, 4
 MINIMA = BANDS * ROWS
 BITS = 4
 LONGS = MINIMA * BITS // 64
+# Bands are dealt into this many kinds; those of a kind choose their hubs in the same order, so that
+# a class meets about this many hubs, and an odd one of them does not leave a group apart.
+HUBS = 4
 # An estimate over 128 minima strays by 0.037 at most (one standard deviation); five of them.
 ESTIMATE_MARGIN = 0.185
 # Classes of one bucket compared within one task; larger buckets are dealt out in block pairs.
@@ -209,11 +214,12 @@ def _plausible(a: np.ndarray, b: np.ndarray, least: float) -> tuple[np.ndarray,
     return np.concatenate(rows), np.concatenate(cols)
 
 
-def _cross(batch: pa.Table, least: float) -> pa.Table:
+def _cross(batch: pa.Table, least: float, greatest_only: bool) -> pa.Table:
     """Visits between the components of one bucket, or of two of its blocks.
 
     A node of the component with fewer classes visits the other one if their packed bits allow a
-    link to any of its nodes in the bucket; equal sizes are told apart by the root.
+    link to any of its nodes in the bucket; equal sizes are told apart by the root. With
+    ``greatest_only`` only the greatest component at hand is visited.
     """
     nodes, roots = batch.column("node").to_pylist(), batch.column("root").to_pylist()
     blocks = np.array(batch.column("block").to_pylist())
@@ -224,7 +230,9 @@ def _cross(batch: pa.Table, least: float) -> pa.Table:
     ranks = sorted(set(zip(batch.column("size").to_pylist(), roots)))
     number = {root: k for k, (_, root) in enumerate(ranks)}
     comp = np.array([number[root] for root in roots])
-    if len(set(blocks.tolist())) > 1:
+    if greatest_only:
+        left, right = np.flatnonzero(comp != comp.max()), np.flatnonzero(comp == comp.max())
+    elif len(set(blocks.tolist())) > 1:
         left, right = np.flatnonzero(blocks == blocks.min()), np.flatnonzero(blocks != blocks.min())
     else:
         # All against all, but rows of the greatest component need no partner inside it.
@@ -234,14 +242,14 @@ def _cross(batch: pa.Table, least: float) -> pa.Table:
         i, j = _plausible(cells[left], cells[right], least)
         i, j = left[i], right[j]
         for x, y in ((i, j), (j, i)):
-            up = comp[x] < comp[y]
+            up = comp[x] < (np.where(comp[y] == comp.max(), comp[y], -1) if greatest_only else comp[y])
             found.update(np.unique(x[up] * len(ranks) + comp[y[up]]).tolist())
     visits = [(nodes[x // len(ranks)], ranks[x % len(ranks)][1]) for x in found]
     node, root = zip(*visits) if visits else ((), ())
     return pa.table({"node": pa.array(node, pa.binary()), "root": pa.array(root, pa.binary())})
 
 
-def visits(open_rows: DataFrame, least: float) -> DataFrame:
+def visits(open_rows: DataFrame, least: float, greatest_only: bool) -> DataFrame:
     """Which node visits which component, from buckets ``key, n, node, root, size, bits``.
 
     A bucket within BLOCK rows is one task's group. A larger one is dealt into b blocks, and every
@@ -258,7 +266,7 @@ def visits(open_rows: DataFrame, least: float) -> DataFrame:
     return (
         dealt.select("key", "low", "high", "block", "node", "root", "size", "bits")
         .groupBy("key", "low", "high")
-        .applyInArrow(lambda table: _cross(table, least), "node binary, root binary")
+        .applyInArrow(lambda table: _cross(table, least, greatest_only), "node binary, root binary")
         .distinct()
     )
 
@@ -351,9 +359,11 @@ def near_duplicates(
     )
     nodes = materialize(nodes, "classes")
 
-    # Buckets with several classes, each with its smallest class as the hub of a star.
-    banded = nodes.select("node", F.explode("bands").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n"))
+    # Buckets with several classes, each with one of them as the hub of a star.
+    banded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    place = F.struct(F.xxhash64("node", F.col("band") % HUBS), "node")
+    buckets = banded.groupBy("key").agg(F.min(place)["node"].alias("hub"), F.count("*").alias("n"))
+    banded = banded.drop("band")
     members = banded.join(buckets.where("n > 1"), "key")
     members = materialize(members, "buckets")
 
@@ -377,16 +387,19 @@ def near_duplicates(
     roots = connected_components(links)
 
     # What the stars left apart within a bucket.
-    apart = needed.select("node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    sizes = apart.groupBy("root").agg(F.count("*").alias("size"))
-    apart = materialize(apart.join(sizes, "root").select("node", "root", "size"), "apart")
-    rooted = members.join(apart, "node")
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    mixed = mixed.where("low <> high").select("key")
-    open_rows = rooted.join(mixed, "key").join(bits, "node")
-    visited = materialize(visits(open_rows, least), "visits")
-    links = links.unionByName(visit_links(visited, apart, sets, percent))
-    roots = connected_components(links)
+    for greatest_only in (True, False):
+        apart = needed.select("node").join(roots, "node", "left")
+        apart = apart.withColumn("root", F.coalesce("root", "node"))
+        sizes = apart.groupBy("root").agg(F.count("*").alias("size"))
+        apart = materialize(apart.join(sizes, "root").select("node", "root", "size"), "apart")
+        rooted = members.join(apart, "node")
+        mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        mixed = mixed.where("low <> high").select("key")
+        open_rows = rooted.join(mixed, "key").join(bits, "node")
+        visited = materialize(visits(open_rows, least, greatest_only), "visits")
+        links = links.unionByName(visit_links(visited, apart, sets, percent))
+        links = materialize(links, "confirmed")
+        roots = connected_components(links)
 
     # A component's id is the smallest document id of its classes.
     labelled = nodes.select("node", "first_id").join(roots, "node", "left")

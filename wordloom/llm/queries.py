@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wordloom.llm import (
+    line_quality,
     near_dedup,
     source_mix,
     suffix_dedup,
@@ -51,6 +52,10 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(docs, width=3, percent=85)
 
 
+def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op9_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = source_mix.copies(table(spark, sf_dir, "documents"))
     taken = (F.col("size") * F.col("n_copies")).alias("taken")
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxic_segments": op5_toxic_segments,
     "op6_url_filter": op6_url_filter,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_line_quality": op8_line_quality,
     "op9_systematic_mix": op9_systematic_mix,
     "op10_token_counts": op10_token_counts,
 }
@@ -94,6 +100,39 @@ ORACLE: dict[str, str] = {
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
         FROM split LEFT JOIN best USING (host, path)
     """,
+    "op8_line_quality": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, doc_id, coalesce('=' || source, 'null') AS host, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS tokens,
+                   list_filter(string_split(coalesce(text, ''), chr(10)),
+                               lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+        windows AS (
+            SELECT row, i, tokens[i] || ' ' || tokens[i + 1] || ' ' || tokens[i + 2] AS w
+            FROM (SELECT row, tokens, unnest(range(1, len(tokens) - 1)) AS i FROM d WHERE len(tokens) >= 3)),
+        again AS (SELECT row, i FROM windows QUALIFY count(*) OVER (PARTITION BY row, w) > 1),
+        covered AS (
+            SELECT row, count(DISTINCT p) AS n FROM (SELECT row, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY row),
+        exploded AS (
+            SELECT row, host, text, regexp_replace(regexp_replace(lower(x), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g') AS line,
+                   len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS words
+            FROM (SELECT row, host, text, unnest(lines) AS x FROM d)),
+        hosts AS (SELECT host, count(DISTINCT text) AS documents FROM d GROUP BY host),
+        common AS (
+            SELECT host, line FROM exploded JOIN hosts USING (host) GROUP BY host, line, documents
+            HAVING count(DISTINCT text) > 20 AND count(DISTINCT text) > 0.01::DOUBLE * documents),
+        lost AS (SELECT row, count(*) AS lines_lost, sum(words) AS words_lost FROM exploded JOIN common USING (host, line) GROUP BY row),
+        counted AS (
+            SELECT doc_id, len(tokens) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+                   length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+                   len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+                   len(lines) AS n_lines, coalesce(lines_lost, 0) AS n_boilerplate_lines,
+                   (len(tokens) - coalesce(words_lost, 0))::BIGINT AS left_words
+            FROM d LEFT JOIN covered USING (row) LEFT JOIN lost USING (row))
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+               AND left_words >= 25 AND left_words >= 0.25::DOUBLE * n_words AS kept
+        FROM counted
+    """.replace("\\\\", "\\"),
     "op9_systematic_mix": f"""
         WITH sized AS (
             SELECT doc_id, source, {WORDS} AS size FROM documents),

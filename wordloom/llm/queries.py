@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wordloom.llm import (
     line_quality,
     near_dedup,
+    secret_scan,
     source_mix,
     suffix_dedup,
     token_counts,
@@ -22,6 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, sf_dir, "documents"))
+
+
 def op3_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.read_digests(*token_planes.write_blocks(table(spark, sf_dir, "documents")))
 
@@ -67,6 +72,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
     "op3_token_planes": op3_token_planes,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_toxic_segments": op5_toxic_segments,

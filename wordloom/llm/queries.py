@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wordloom.llm import (
+    decontaminate,
     line_quality,
     near_dedup,
     secret_scan,
@@ -27,6 +28,11 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(table(spark, sf_dir, "documents"))
 
 
+def op2_benchmark_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
 def op3_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.read_digests(*token_planes.write_blocks(table(spark, sf_dir, "documents")))
 
@@ -73,6 +79,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_benchmark_templates": op2_benchmark_templates,
     "op3_token_planes": op3_token_planes,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_toxic_segments": op5_toxic_segments,

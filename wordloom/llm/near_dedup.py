@@ -411,3 +411,28 @@ def near_duplicates(
     named = named.select(F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"), "node")
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("node").isNull())
     return named.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80
+) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, with one document left of each component.
+
+    The smallest id stays. Rows that repeat a kept id stay once for each different text; rows with
+    a null id cannot be told apart and stay, as do all rows without words.
+    """
+    judged = materialize(near_duplicates(docs, id_col, text_col, width, percent), "judged")
+    known = judged.where("doc_id is not null")
+    # An id goes if none of its rows is kept: a repeated id may stand for different texts.
+    ids = known.groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
+    gone = ids.where("not kept").select(F.col("doc_id").alias("__gone"))
+    key = docs[id_col].cast("bigint")
+    left = docs.join(gone, key == gone["__gone"], "left_anti")
+    repeated = materialize(ids.where("kept and n > 1").select(F.col("doc_id").alias("__twice")), "repeated_ids")
+    if repeated.isEmpty():
+        return left
+    text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    same = left[id_col].cast("bigint") == repeated["__twice"]
+    once = left.join(repeated, same, "left_semi").withColumn("__hash", text_hash)
+    once = once.dropDuplicates([id_col, "__hash"]).drop("__hash")
+    return left.join(repeated, same, "left_anti").unionByName(once)

@@ -24,7 +24,7 @@ BROADCAST_WINDOWS = 500_000
 # Placeholders are characters of the private use area: number, name, unit.
 NUMBER, NAME, UNIT = "", "", ""
 # A capitalised word in the middle of a sentence.
-_NAMED = r"(?<=[\p{L}\p{N},;] )\p{Lu}[\p{L}'-]*"
+_NAMED = r"(?<=[\p{L}\p{N},;] )\p{Lu}\p{Ll}[\p{L}'-]*"
 _NUMBERED = r"[0-9][0-9.,:/]*"
 # Units that are told behind a number.
 UNITS = (

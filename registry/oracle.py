@@ -6,8 +6,12 @@ window ranks), not the shape of the Spark plans, so that it checks them.
 
 from __future__ import annotations
 
-from wordloom.functions.words import KEPT_TWO_LETTER_WORDS, NOISE_LITERALS, STOP_WORDS
-from wordloom.plans.predict import EMPTY_MESSAGE
+from wordloom.functions.words import STOP_WORDS
+
+# Fixed values, written out here so that the engine's own are checked against them.
+KEPT_TWO_LETTER_WORDS = ("us", "go")
+NOISE_LITERALS = ("wtju", "adhd")
+EMPTY_MESSAGE = "Please Enter the Text"
 
 
 def _quoted(words) -> str:
@@ -186,7 +190,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "phrases": (
         (),
         f"SELECT conv_id * {1 << 20} + turn AS query_id, {QUERY_TOKENS} AS t "
-        "FROM conversations WHERE role = 'user'",
+        "FROM conversations",
     ),
 }
 
@@ -301,20 +305,34 @@ def _select(cols: str, table: str) -> str:
     return _with((table,), f"SELECT {cols} FROM {table}")
 
 
+# Words of a document that no turn of a conversation has, by a look-up per word.
+UNSAID = {
+    "listed": ((), f"SELECT DISTINCT unnest({TRAIN_TOKENS}) AS word FROM conversations"),
+    "kept": (
+        ("tokens", "listed"),
+        "SELECT doc_id, coalesce(list(w ORDER BY i) FILTER (WHERE word IS NULL), []) AS kept FROM ("
+        "SELECT doc_id, unnest(t) AS w, generate_subscripts(t, 1) AS i FROM tokens) LEFT JOIN listed ON w = word "
+        "GROUP BY doc_id UNION ALL SELECT doc_id, [] FROM tokens WHERE len(t) = 0",
+    ),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     spoken = "doc_id, CAST(len({0}) AS BIGINT) AS n_tokens, array_to_string({0}, ' ') AS words"
     top = "SELECT * FROM ({})"
     trim_context = _allowed("w2")
     return {
         "sample_train_test": """
-            WITH keyed AS (SELECT doc_id, source, md5(concat_ws('~', '1234', source, doc_id)) AS key FROM documents),
+            WITH keyed AS (SELECT doc_id, source, md5(text) AS text_md5,
+                           md5(concat_ws('~', '1234', source, doc_id)) AS key FROM documents),
             ranked AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY key, doc_id) AS r,
                        count(*) OVER (PARTITION BY source) AS n FROM keyed)
-            SELECT doc_id, source, CASE WHEN r <= 2 THEN 'test' ELSE 'train' END AS split
+            SELECT doc_id, source, text_md5, CASE WHEN r <= 2 THEN 'test' ELSE 'train' END AS split
             FROM ranked WHERE r <= ceil(CAST(n AS DOUBLE) * CAST(0.2 AS DOUBLE))""",
         "sample_records": """
-            WITH keyed AS (SELECT doc_id, source, md5(concat_ws('~', '2345', source, doc_id)) AS key FROM documents)
-            SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY key, doc_id) AS r,
+            WITH keyed AS (SELECT doc_id, source, md5(text) AS text_md5,
+                           md5(concat_ws('~', '2345', source, doc_id)) AS key FROM documents)
+            SELECT doc_id, source, text_md5 FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY key, doc_id) AS r,
             count(*) OVER (PARTITION BY source) AS n FROM keyed)
             WHERE r <= ceil(CAST(n AS DOUBLE) * CAST(0.1 AS DOUBLE))""",
         "clean_text": f"SELECT doc_id, array_to_string({_lines('text')}, chr(10)) AS cleaned FROM documents",
@@ -339,6 +357,13 @@ def oracle_sql() -> dict[str, str]:
                 f"SELECT list(DISTINCT w) AS words FROM (SELECT unnest({TRAIN_TOKENS}) AS w FROM benchmark)",
             ),
         ),
+        "remove_features_long": _with(("kept",), f"SELECT {spoken.format('kept')} FROM kept", **UNSAID),
+        "blocked_bigram_counts": _with(
+            ("c2",),
+            "SELECT * FROM c2",
+            **UNSAID,
+            positions=(("kept",), "SELECT kept AS t, unnest(range(1, len(kept) + 1)) AS i FROM kept"),
+        ),
         "unigram_counts": _select("*", "c1"),
         "bigram_counts": _select("*", "c2"),
         "trigram_counts": _select("*", "c3"),

@@ -43,7 +43,7 @@ def trained_model(spark: SparkSession, sf_dir: str, kind: str) -> dict:
 
 
 def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").where("role = 'user'")
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return turns.select((F.col("conv_id") * TURNS + F.col("turn")).alias("query_id"), "text")
 
 
@@ -59,9 +59,13 @@ def spoken(df: DataFrame) -> DataFrame:
 # --- corpus ---------------------------------------------------------------------------------
 
 
+def digested(sampled: DataFrame) -> DataFrame:
+    """Sampled records with a checksum in place of their text."""
+    return sampled.withColumn("text_md5", F.md5(F.col("text").cast("binary"))).drop("text")
+
+
 def sample_train_test(spark, sf_dir):
-    docs = documents(spark, sf_dir).select("doc_id", "source")
-    return sampling.sample_train_test(docs, n_test=N_TEST)
+    return digested(sampling.sample_train_test(documents(spark, sf_dir), n_test=N_TEST))
 
 
 def clean_text(spark, sf_dir):
@@ -80,9 +84,25 @@ def remove_features(spark, sf_dir):
     return spoken(models.tokenized(documents(spark, sf_dir), listed.distinct()))
 
 
+def spoken_words(spark, sf_dir) -> DataFrame:
+    """All words of all turns, as a long block list."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    said = F.explode_outer(text.tokenize(text.clean_text(F.col("text")))).alias("word")
+    return turns.select(said).distinct()
+
+
+def remove_features_long(spark, sf_dir):
+    return spoken(models.tokenized(documents(spark, sf_dir), spoken_words(spark, sf_dir)))
+
+
+def blocked_bigram_counts(spark, sf_dir):
+    """Bigrams counted after the block list's words are gone, so that they bridge the gaps."""
+    listed = spoken_words(spark, sf_dir)
+    return counts.ngram_counts(models.tokenized(documents(spark, sf_dir), listed), 2)
+
+
 def sample_records(spark, sf_dir):
-    docs = documents(spark, sf_dir).select("doc_id", "source")
-    return sampling.sample_records(docs, frac=0.1, seed=2345)
+    return digested(sampling.sample_records(documents(spark, sf_dir), frac=0.1, seed=2345))
 
 
 def tokenize_query(spark, sf_dir):
@@ -281,6 +301,8 @@ QUERIES: dict[str, Query] = {
     "tokenize": tokenize,
     "tokenize_query": tokenize_query,
     "remove_features": remove_features,
+    "remove_features_long": remove_features_long,
+    "blocked_bigram_counts": blocked_bigram_counts,
     "ngram_strings": ngram_strings,
     "unigram_counts": counted(1),
     "bigram_counts": counted(2),

@@ -242,3 +242,21 @@ def test_kn_model_tables(micro):
     for name in ("bigram_mle", "bigram_kn", "bigram_kn_interpolated", "trigram_mle",
                  "bigram_mle_interpolated", "trigram_mle_interpolated"):
         assert model[name].groupBy("w1").agg(F.count("*").alias("n")).where("n > 5").count() == 0
+
+
+def test_named_model_and_phrases_without_text(spark, micro, tmp_path):
+    from wordloom.plans import models, predict
+
+    saved = models.save_model(models.mle_model(tables=micro, max_n=3), str(tmp_path), "mle")
+    models.save_model(micro, str(tmp_path), "counts")
+    other = spark.newSession()
+    loaded = models.load_model(other, str(tmp_path), "mle")
+    assert loaded.keys() == saved.keys()
+    counts = models.load_model(other, str(tmp_path), "counts")
+    assert counts.keys() == micro.keys() and counts[2].count() == micro[2].count()
+    queries = other.createDataFrame([(1, "red fox"), (2, None), (3, "")], "query_id bigint, text string")
+    rows = predict.predict_backoff(queries, loaded, 3).collect()
+    answers = {q: [r.word for r in sorted(rows, key=lambda r: r.position) if r.query_id == q] for q in (1, 2, 3)}
+    assert answers == {1: ["ran", "red", "sat"], 2: [predict.EMPTY_MESSAGE], 3: [predict.EMPTY_MESSAGE]}
+    with pytest.raises(ValueError):
+        models.save_model(micro, name="nowhere")

@@ -22,6 +22,26 @@ def test_lines_and_corpus(spark, folder):
     assert first == {tuple(r) for r in corpus.repartition(3).collect()}
 
 
+def test_line_ids_do_not_depend_on_splits(spark, folder):
+    """Equal ids, and so equal samples, however the files are cut."""
+    from wordloom.operators.sampling import sample_records
+
+    for name in ("a", "b"):
+        lines = "".join(f"{name} line {i} {'x' * (i % 50)}\n" for i in range(2000))
+        (folder / "corpus" / f"{name}.txt").write_text(lines)
+    got = []
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("128m", "7k", "1k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        corpus = files.read_corpus(spark, f"{folder}/corpus/*.txt", str(folder / f"work{size}"))
+        rows = sorted(tuple(r) for r in corpus.collect())
+        got.append((rows, sorted(tuple(r) for r in sample_records(corpus, frac=0.2).collect())))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got[0] == got[1] == got[2]
+    lines = [(i % files.LINES_PER_FILE, text.split()[2]) for i, source, text in got[0][0] if source in "ab"]
+    assert all(str(number) == told for number, told in lines)
+
+
 def test_word_list(spark, folder):
     path = folder / "block.csv"
     path.write_text('about\nthis\nlist\n\nid,term\n1,foo\n2,"bar, baz"\n\n3,qux\n')

@@ -119,23 +119,18 @@ def test_context_keys_do_not_collide(spark):
     assert df.select(text.context_key("w1", "w2").alias("k")).distinct().count() == 2
 
 
-@pytest.mark.parametrize("limit", [10_000, 1])
-def test_block_list_bridges_gaps(spark, monkeypatch, limit):
-    monkeypatch.setattr(text, "MAX_INLINE_WORDS", limit)
-    docs = spark.createDataFrame(
-        [(1, "ox bad by ox bad"), (2, "bad worse"), (3, ""), (4, "by by")], "doc_id bigint, text string"
-    )
+@pytest.mark.parametrize("extra", [0, 12_000])
+def test_block_list_bridges_gaps(spark, extra):
+    """One result for every length of the list, also for equal, null and keyless records."""
+    rows = [(1, "ox bad by ox bad"), (1, "ox bad by ox bad"), (1, "worse fox"), (2, "bad worse"), (3, ""), (4, "by by"), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     listed = spark.createDataFrame([("bad",), ("worse",), ("bad",), (None,)], "word string")
-    got = {r.doc_id: r.tokens for r in models.tokenized(docs, listed).collect()}
-    assert got == {1: ["ox", "by", "ox"], 2: [], 3: [], 4: ["by", "by"]}
-
-
-def test_long_block_list_needs_a_record_key(spark, monkeypatch):
-    monkeypatch.setattr(text, "MAX_INLINE_WORDS", 1)
-    docs = spark.createDataFrame([("a bad b",)], "text string")
-    listed = spark.createDataFrame([("bad",), ("worse",)], "word string")
-    with pytest.raises(ValueError):
-        models.tokenized(docs, listed)
+    listed = listed.unionByName(spark.range(extra).select(F.concat(F.lit("no"), "id").alias("word")))
+    want = [(1, ["ox", "by", "ox"]), (1, ["ox", "by", "ox"]), (1, ["fox"]), (2, []), (3, []), (4, ["by", "by"]), (5, None)]
+    got = [tuple(r) for r in models.tokenized(docs, listed).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    keyless = [r.tokens for r in models.tokenized(docs.select("text"), listed).collect()]
+    assert sorted(keyless, key=str) == sorted([tokens for _, tokens in want], key=str)
 
 
 def test_word_lists(spark):

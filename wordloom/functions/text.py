@@ -9,10 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wordloom.functions.words import is_digit_led
 from wordloom.workspace import materialize
 
-# A block list up to this length is looked up as a hash set inside the filter expression;
-# a longer one is anti-joined.
-MAX_INLINE_WORDS = 10_000
-
 # The patterns of the cleaning chain. A record may hold several physical lines and
 # every rule applies per line; the line end is spelled out so that one pass covers all lines.
 # Slash, at, pipe and hyphen become spaces together with all other non-text characters. The only
@@ -68,33 +64,29 @@ def remove_features(tokens: Column, words: Sequence[str]) -> Column:
     """Drop block-list words before n-grams are formed, so an n-gram bridges the gap."""
     if not words:
         return tokens
-    if len(words) > MAX_INLINE_WORDS:
-        raise ValueError("long block list: use remove_listed_features")
     return F.filter(tokens, lambda word: ~word.isin(list(words)))
 
 
-def remove_listed_features(docs: DataFrame, words: DataFrame) -> DataFrame:
-    """``remove_features`` on ``docs.tokens`` for a ``words(word)`` table of any length.
+def remove_listed_features(docs: DataFrame, words: DataFrame, folder: str | None = None) -> DataFrame:
+    """``remove_features`` on ``docs.tokens`` for a ``words(word)`` table, whatever its length.
 
-    A list within ``MAX_INLINE_WORDS`` becomes a hash set in a narrow filter. Beyond that the
-    list is written, so that Spark knows its size, the tokens are matched against it and put back
-    in order; a group is one record, told by the other columns, never more.
+    Records are written with a row id, so that records with equal columns, or none but the tokens,
+    stay apart. Different words of a record are looked up in the list, which is written too, so
+    that Spark knows its size; what comes back to a record are the listed words it holds, and its
+    tokens are filtered in place. Null tokens stay null.
     """
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
     listed = words.select("word").where(F.col("word").isNotNull()).distinct()
-    head = [row.word for row in listed.limit(MAX_INLINE_WORDS + 1).collect()]
-    if len(head) <= MAX_INLINE_WORDS:
-        return docs.withColumn("tokens", remove_features(F.col("tokens"), head))
-    keys = [name for name in docs.columns if name != "tokens"]
-    if not keys:
-        raise ValueError("a long block list needs a record key beside the tokens")
-    listed = materialize(listed, "block_list")
-    exploded = docs.select(*keys, F.posexplode_outer("tokens").alias("pos", "word"))
-    marked = exploded.join(listed.withColumn("listed", F.lit(True)), "word", "left")
-    kept = F.when(F.col("word").isNotNull() & F.col("listed").isNull(), F.struct("pos", "word"))
-    ordered = F.sort_array(F.collect_list(kept))
-    return marked.groupBy(*keys).agg(
-        F.transform(ordered, lambda item: item["word"]).alias("tokens")
-    )
+    listed = materialize(listed, "block_list", folder)
+    kept = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "records", folder)
+    held = kept.select(row, F.explode(F.array_distinct("tokens")).alias("word"))
+    hits = held.join(listed, "word").groupBy(row).agg(F.collect_list("word").alias("_listed"))
+    left = F.filter("tokens", lambda word: ~F.array_contains(hits["_listed"], word))
+    tokens = F.when(hits["_listed"].isNull(), kept["tokens"]).otherwise(left)
+    joined = kept.join(hits, row, "left")
+    return joined.select(*[tokens.alias(c) if c == "tokens" else kept[c] for c in docs.columns])
 
 
 def ngrams(tokens: Column, n: int) -> Column:

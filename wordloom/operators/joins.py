@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wordloom.operators.counts import total
-from wordloom.workspace import MAX_SHUFFLE_PARTITIONS, TARGET_PARTITION_BYTES, estimated_bytes
+from wordloom.workspace import TARGET_PARTITION_BYTES, UNKNOWN_BYTES, estimated_bytes, max_partitions
 
 # Below this a third of the rows still fits one task, and the join is left to Spark as it is.
 SALT_ABOVE_BYTES = 4 * 1024**3
@@ -18,7 +18,9 @@ HOT_SHARE = 1e-4
 
 def _partitions(df: DataFrame, nbytes: int) -> int:
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(configured, min(nbytes // TARGET_PARTITION_BYTES, MAX_SHUFFLE_PARTITIONS))
+    if nbytes >= UNKNOWN_BYTES:
+        return configured
+    return max(configured, min(nbytes // TARGET_PARTITION_BYTES, max_partitions(df.sparkSession)))
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], freq: str, partitions: int) -> DataFrame:

@@ -28,12 +28,14 @@ from wordloom.workspace import materialize, spread
 Tables = Mapping[int | str, DataFrame]
 
 
-def tokenized(docs: DataFrame, block_list: DataFrame | None = None) -> DataFrame:
+def tokenized(
+    docs: DataFrame, block_list: DataFrame | None = None, folder: str | None = None
+) -> DataFrame:
     """Clean and tokenise ``docs.text``; a small corpus is first spread over the cores."""
     keys = [name for name in docs.columns if name != "text"]
     wide = spread(docs, *[name for name in keys if name == "doc_id"])
     tokens = wide.select(*keys, tokenize(clean_text(F.col("text"))).alias("tokens"))
-    return tokens if block_list is None else remove_listed_features(tokens, block_list)
+    return tokens if block_list is None else remove_listed_features(tokens, block_list, folder)
 
 
 def train_counts(
@@ -175,9 +177,37 @@ def interpolated_model(
     return model
 
 
-def save_model(model: Mapping, folder: str | None = None) -> dict:
-    """Write every table of a model, so that predictions read the finished tables."""
-    return {key: materialize(table, f"model_{key}", folder) for key, table in model.items()}
+def save_model(model: Mapping, folder: str | None = None, name: str | None = None) -> dict:
+    """Write every table of a model, so that predictions read the finished tables.
+
+    With a ``name`` the tables lie under ``folder/name`` and ``load_model`` finds them again, from
+    any application; frequency tables of ``train_counts`` can be kept the same way.
+    """
+    if name is None:
+        return {key: materialize(table, f"model_{key}", folder) for key, table in model.items()}
+    if folder is None:
+        raise ValueError("a named model needs a folder")
+    spark = next(iter(model.values())).sparkSession
+    for key, table in model.items():
+        table.write.mode("overwrite").parquet(f"{folder}/{name}/{_table_name(key)}")
+    # The list of tables comes last: a model without it is not finished.
+    names = spark.createDataFrame([(_table_name(key),) for key in model], "name string")
+    names.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{name}/tables")
+    return load_model(spark, folder, name)
+
+
+def _table_name(key: int | str) -> str:
+    return f"order={key}" if isinstance(key, int) else f"table={key}"
+
+
+def load_model(spark: SparkSession, folder: str, name: str) -> dict[int | str, DataFrame]:
+    """The tables that ``save_model`` wrote under a name."""
+    out: dict[int | str, DataFrame] = {}
+    for row in spark.read.parquet(f"{folder}/{name}/tables").collect():
+        kind, key = row["name"].split("=", 1)
+        table = spark.read.parquet(f"{folder}/{name}/{row['name']}")
+        out[int(key) if kind == "order" else key] = table
+    return out
 
 
 def ranked_model(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from wordloom.workspace import materialize
 
@@ -19,15 +19,37 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
+# Lines that a file may have before its ids run into those of the next one.
+LINES_PER_FILE = 1 << 40
+
+
 def read_corpus(spark: SparkSession, glob: str, folder: str | None = None) -> DataFrame:
     """All text files of a glob as ``(doc_id, source, text)``, one line a record.
 
-    Lines carry no key of their own, so the ids are assigned once and written down with the text:
-    a later re-read or a retried task sees the same ids.
+    The id is made of the file's place among the sorted paths and the line's number in the file, so
+    it depends neither on how Spark splits the files nor on the cluster. The lines are written once
+    with the id of their row; rows of one block are consecutive, so a block's first row and the
+    number of lines in the blocks before it give every line's number. Only these few numbers per
+    block are joined; the text is not shuffled.
     """
-    lines = read_lines(spark, glob)
-    numbered = lines.select(F.monotonically_increasing_id().alias("doc_id"), "source", "text")
-    return materialize(numbered, "corpus", folder)
+    lines = spark.read.text(glob).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.regexp_replace("_metadata.file_name", r"\.[^.]*$", "").alias("source"),
+        F.translate("value", "\x00", "").alias("text"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    lines = materialize(lines, "lines", folder)
+    blocks = lines.groupBy("path", "block").agg(F.min("row").alias("first"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("path", "block", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    # One row per file; the driver lists as many when it plans the scan.
+    files = blocks.select("path").distinct()
+    files = files.select("path", (F.row_number().over(Window.orderBy("path")) - 1).cast("bigint").alias("file"))
+    places = materialize(blocks.join(files, "path"), "blocks", folder)
+    line = F.col("before") + F.col("row") - F.col("first")
+    numbered = lines.join(places, ["path", "block"])
+    return numbered.select((F.col("file") * LINES_PER_FILE + line).alias("doc_id"), "source", "text")
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -10,8 +10,10 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-# Beyond this, more shuffle partitions cost more in bookkeeping than a larger partition's spill.
+# Most shuffle partitions of one stage, unless the setting below says otherwise: beyond some number
+# bookkeeping costs more than the spill of larger partitions.
 MAX_SHUFFLE_PARTITIONS = 50_000
+MAX_PARTITIONS_SETTING = "spark.wordloom.maxShufflePartitions"
 UNKNOWN_BYTES = 1 << 60
 
 _local_folders: dict[str, str] = {}
@@ -43,7 +45,7 @@ def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFram
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Bytes of the tables a plan reads, after column pruning.
+    """Bytes of the files a plan reads, all columns counted.
 
     Spark's estimate for the plan as a whole multiplies the sides of a join; the sum over the
     tables is nearer to what a look-up join yields.
@@ -64,6 +66,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(2 * slots, *keys)
 
 
+def max_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get(MAX_PARTITIONS_SETTING, str(MAX_SHUFFLE_PARTITIONS)))
+
+
 @contextmanager
 def shuffle_partitions(spark: SparkSession, shuffled_bytes: int) -> Iterator[None]:
     """Raise (never lower) the shuffle partition count so that a partition fits in memory.
@@ -73,7 +79,8 @@ def shuffle_partitions(spark: SparkSession, shuffled_bytes: int) -> Iterator[Non
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     known = shuffled_bytes < UNKNOWN_BYTES
-    wanted = min(-(-shuffled_bytes // TARGET_PARTITION_BYTES), MAX_SHUFFLE_PARTITIONS) if known else 0
+    most = max_partitions(spark)
+    wanted = min(-(-shuffled_bytes // TARGET_PARTITION_BYTES), most) if known else 0
     spark.conf.set(key, str(max(int(before), wanted)))
     try:
         yield

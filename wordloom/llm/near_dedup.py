@@ -219,7 +219,8 @@ def _cross(batch: pa.Table, least: float, greatest_only: bool) -> pa.Table:
 
     A node of the component with fewer classes visits the other one if their packed bits allow a
     link to any of its nodes in the bucket; equal sizes are told apart by the root. With
-    ``greatest_only`` only the greatest component at hand is visited.
+    ``greatest_only`` only the greatest component at hand is visited. Else a pair of nodes counts in
+    the bucket of the first band that they share, and not again in all others.
     """
     nodes, roots = batch.column("node").to_pylist(), batch.column("root").to_pylist()
     blocks = np.array(batch.column("block").to_pylist())
@@ -241,6 +242,11 @@ def _cross(batch: pa.Table, least: float, greatest_only: bool) -> pa.Table:
     if len(left) and len(right):
         i, j = _plausible(cells[left], cells[right], least)
         i, j = left[i], right[j]
+        if not greatest_only:
+            bands = np.array(batch.column("bands").to_pylist(), dtype=np.int64)
+            first = (bands[i] == bands[j]).argmax(axis=1)
+            here = bands[i, first] == batch.column("key")[0].as_py()
+            i, j = i[here], j[here]
         for x, y in ((i, j), (j, i)):
             up = comp[x] < (np.where(comp[y] == comp.max(), comp[y], -1) if greatest_only else comp[y])
             found.update(np.unique(x[up] * len(ranks) + comp[y[up]]).tolist())
@@ -250,7 +256,7 @@ def _cross(batch: pa.Table, least: float, greatest_only: bool) -> pa.Table:
 
 
 def visits(open_rows: DataFrame, least: float, greatest_only: bool) -> DataFrame:
-    """Which node visits which component, from buckets ``key, n, node, root, size, bits``.
+    """Which node visits which component, from buckets ``key, n, node, root, size, bits, bands``.
 
     A bucket within BLOCK rows is one task's group. A larger one is dealt into b blocks, and every
     pair of blocks is a group of its own, so its work is spread over b * (b + 1) / 2 groups.
@@ -264,7 +270,7 @@ def visits(open_rows: DataFrame, least: float, greatest_only: bool) -> DataFrame
         "high", F.greatest("block", "other")
     )
     return (
-        dealt.select("key", "low", "high", "block", "node", "root", "size", "bits")
+        dealt.select("key", "low", "high", "block", "node", "root", "size", "bits", "bands")
         .groupBy("key", "low", "high")
         .applyInArrow(lambda table: _cross(table, least, greatest_only), "node binary, root binary")
         .distinct()
@@ -395,7 +401,7 @@ def near_duplicates(
         rooted = members.join(apart, "node")
         mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         mixed = mixed.where("low <> high").select("key")
-        open_rows = rooted.join(mixed, "key").join(bits, "node")
+        open_rows = rooted.join(mixed, "key").join(nodes.select("node", "bits", "bands"), "node")
         visited = materialize(visits(open_rows, least, greatest_only), "visits")
         links = links.unionByName(visit_links(visited, apart, sets, percent))
         links = materialize(links, "confirmed")

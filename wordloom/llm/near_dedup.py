@@ -403,9 +403,11 @@ def near_duplicates(
         mixed = mixed.where("low <> high").select("key")
         open_rows = rooted.join(mixed, "key").join(nodes.select("node", "bits", "bands"), "node")
         visited = materialize(visits(open_rows, least, greatest_only), "visits")
-        links = links.unionByName(visit_links(visited, apart, sets, percent))
-        links = materialize(links, "confirmed")
-        roots = connected_components(links)
+        found = materialize(visit_links(visited, apart, sets, percent), "confirmed")
+        # The components so far are stars; what was found joins some of them.
+        if not found.isEmpty():
+            stars = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = connected_components(stars.unionByName(found))
 
     # A component's id is the smallest document id of its classes.
     labelled = nodes.select("node", "first_id").join(roots, "node", "left")

@@ -171,9 +171,9 @@ def discoveries(found: DataFrame, rate: float = FALSE_DISCOVERIES) -> DataFrame:
     )
     cells = materialize(cells, "test_histogram")
     own = cells.where("n > 0").select("class", "bin", "n")
-    plain = cells.where("plain > 0").select(F.col("class").alias("c"), F.col("bin").alias("b"), "plain")
-    # Both sides are histograms; the classes up to a candidate's own are what it is compared with.
-    below = own.select("class").distinct().join(plain, F.col("c") <= F.col("class"))
+    # A candidate is compared with the ordinary strings of its own and of all shorter classes.
+    longer = F.explode(F.sequence(F.col("class"), F.lit(len(CLASSES)))).alias("class")
+    below = cells.where("plain > 0").select(longer, F.col("bin").alias("b"), "plain")
     below = below.groupBy("class", "b").agg(F.sum("plain").alias("plain"))
     every = own.select("class", F.col("bin").alias("b"), "n").join(below, ["class", "b"], "full")
     every = every.select("class", "b", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("plain", F.lit(0)).alias("plain"))

@@ -44,3 +44,26 @@ def test_empty_tables(spark, docs_of):
     nothing = benchmark(spark).where("false")
     assert decontaminate.leaks(docs_of([(1, FOX, "s")]), nothing).count() == 0
     assert decontaminate.drop_leaks(docs_of([(1, FOX, "s")]), nothing).count() == 1
+
+
+APPLES = "Anna has 3 apples. Tom has 5 apples. How many do they have?"
+GIVEN = "How many apples does Anna give to Tom?"
+
+
+def test_names_that_begin_sentences_and_other_case(spark, docs_of):
+    items = spark.createDataFrame([(1, APPLES), (2, GIVEN), (3, "What is the capital? Where is the port?")], "item_id bigint, text string")
+    docs = docs_of(
+        [
+            (1, "Bob has 7 apples. Eve has 9 apples. How many do they have?", "s"),
+            (2, GIVEN.lower(), "s"),
+            (3, APPLES.upper(), "s"),
+            (4, "Bob has 7 apples. Bob has 9 apples.\nHow many do they have?", "s"),
+            (5, "Paris is the capital. Here is the port.", "s"),  # what and where are no names
+            (6, "Some ask what it has here, where it is and how they do.", "s"),
+            (7, "Bob has 7 apples. Eve has 9 apples. What do they eat?", "s"),
+            (None, "Bob has 7 apples. Eve has 9 apples. How many do they have?", "s"),
+        ]
+    )
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.leaks(docs, items).collect()}
+    assert {k for k in got} == {(1, 1), (2, 2), (3, 1), (4, 1), (None, 1)}
+    assert got[1, 1].n_covered == 13 and got[1, 1].n_changed == 4 and got[2, 2].n_changed == 0

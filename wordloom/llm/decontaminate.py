@@ -6,8 +6,15 @@ joined. Matches of a document and an item that lie on one diagonal (place in the
 place in the item) must agree in their slots: one value of the item always stands for the same
 value of the document. Of the diagonals that do, the words covered must be most of the item.
 
+A text has three templates: names are the capitalised words inside sentences; or all capitalised
+words, as a sentence may begin with a name; or none, which finds copies whatever their case. A
+window that matches by any of them counts. A capitalised word that begins a sentence stands for
+another one only if both are names: words that the texts have in lower case more often than
+capitalised inside a sentence are none.
+
 Documents are read once and only matching windows leave the scan; the words behind placeholders are
-looked up in a second read, and only where a matching item has any.
+looked up in a second read, and only where a matching item has any. Words are counted in a third,
+and only if words that begin sentences differ.
 """
 
 from __future__ import annotations
@@ -25,6 +32,8 @@ BROADCAST_WINDOWS = 500_000
 NUMBER, NAME, UNIT = "", "", ""
 # A capitalised word in the middle of a sentence.
 _NAMED = r"(?<=[\p{L}\p{N},;] )\p{Lu}\p{Ll}[\p{L}'-]*"
+# A capitalised word anywhere.
+_CAPITAL = r"(?<![\p{L}\p{N}'-])\p{Lu}\p{Ll}[\p{L}'-]*"
 _NUMBERED = r"[0-9][0-9.,:/]*"
 # Units that are told behind a number.
 UNITS = (
@@ -35,25 +44,38 @@ _MEASURED = rf"{NUMBER}( ?)(?:{'|'.join(sorted(UNITS, key=len, reverse=True))})\
 _STRIPPED = rf"[^\p{{L}}\p{{N}}{NUMBER}-{UNIT}\s]+"
 
 
-def template_words(text: Column) -> Column:
+def template_words(text: Column, names: str | None = _NAMED) -> Column:
     """Words of the template, one for each white-space separated word with a letter or digit."""
-    out = F.lower(F.regexp_replace(text, _NAMED, NAME))
+    out = F.lower(text if names is None else F.regexp_replace(text, names, NAME))
     out = F.regexp_replace(out, _NUMBERED, NUMBER)
     out = F.regexp_replace(out, _MEASURED, f"{NUMBER}$1{UNIT}")
     return F.array_remove(F.split(F.regexp_replace(out, _STRIPPED, ""), r"\s+"), "")
 
 
+def templates(text: Column) -> list[Column]:
+    """The three templates: ``words, capital, plain``. They agree in their places."""
+    return [
+        template_words(text).alias("words"),
+        template_words(text, _CAPITAL).alias("capital"),
+        template_words(text, None).alias("plain"),
+    ]
+
+
 def plain_words(text: Column) -> Column:
     """The words themselves, place by place those of the template."""
     return F.array_remove(F.split(F.regexp_replace(F.lower(text), _STRIPPED, ""), r"\s+"), "")
 
 
-def window_hashes(words: Column) -> Column:
-    last = F.size(words) - WINDOW
+def window_hashes() -> Column:
+    """For each window the different hashes that the templates give it."""
+    last = F.size("words") - WINDOW
     hashes = F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(WINDOW)])
+        F.sequence(F.lit(0), last),
+        lambda i: F.array_distinct(
+            F.array(*[F.xxhash64(*[F.get(w, i + k) for k in range(WINDOW)]) for w in ("words", "capital", "plain")])
+        ),
     )
-    return F.when(last >= 0, hashes).otherwise(F.array().cast("array<bigint>"))
+    return F.when(last >= 0, hashes).otherwise(F.array().cast("array<array<bigint>>"))
 
 
 def has_slot(word: Column) -> Column:
@@ -63,16 +85,21 @@ def has_slot(word: Column) -> Column:
 def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``item_id, n_words, item_at, window, slots``: every window of every item."""
     items = benchmark.where(F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("item_id"), template_words(F.col(text_col)).alias("words")
+        F.col(id_col).alias("item_id"), *templates(F.col(text_col))
     )
-    # The outer form of the explode: for the inner one the optimizer would add a filter on the size
-    # below the projections, in which every window makes the words of its text anew.
-    items = items.select("item_id", "words", F.posexplode_outer(window_hashes(F.col("words"))).alias("item_at", "window"))
-    items = items.where("window is not null")
-    inside = F.slice("words", F.col("item_at") + 1, F.lit(WINDOW))
-    return items.select(
-        "item_id", F.size("words").alias("n_words"), "item_at", "window", F.exists(inside, has_slot).alias("slots")
-    ).distinct()
+    n_words = F.size("words").alias("n_words")
+    made = []
+    for name in ("words", "capital", "plain"):
+        places = F.when(n_words >= WINDOW, F.sequence(F.lit(0), n_words - WINDOW))
+        each = items.select("item_id", n_words, F.col(name).alias("words"), F.explode_outer(places).alias("item_at"))
+        inside = F.slice("words", F.col("item_at") + 1, F.lit(WINDOW))
+        window = F.xxhash64(*[F.get("words", F.col("item_at") + k) for k in range(WINDOW)]).alias("window")
+        made.append(
+            each.where("item_at is not null").select(
+                "item_id", "n_words", "item_at", window, F.exists(inside, has_slot).alias("slots")
+            )
+        )
+    return made[0].unionByName(made[1]).unionByName(made[2]).distinct()
 
 
 def covered(places: Column) -> Column:
@@ -113,9 +140,12 @@ def leaks(
     windows = materialize(benchmark_windows(benchmark, item_id_col, item_text_col), "benchmark_windows")
     small = windows.count() <= BROADCAST_WINDOWS
 
-    tokens = keyed.select("doc_id", "text_hash", template_words(F.col("text")).alias("words"))
-    hashed = tokens.select("doc_id", "text_hash", window_hashes(F.col("words")).alias("windows"))
-    each = hashed.select("doc_id", "text_hash", F.posexplode_outer("windows").alias("doc_at", "window"))
+    tokens = keyed.select("doc_id", "text_hash", *templates(F.col("text")))
+    hashed = tokens.select("doc_id", "text_hash", window_hashes().alias("windows"))
+    # The outer form of the explode: for the inner one the optimizer would add a filter on the size
+    # below the projections, in which every window makes the words of its text anew.
+    each = hashed.select("doc_id", "text_hash", F.posexplode_outer("windows").alias("doc_at", "hashes"))
+    each = each.select("doc_id", "text_hash", "doc_at", F.explode_outer("hashes").alias("window"))
     met = each.join(F.broadcast(windows) if small else windows, "window")
     met = materialize(met.drop("window"), "matches")
 
@@ -123,8 +153,11 @@ def leaks(
     diagonal = (F.col("doc_at") - F.col("item_at")).alias("diagonal")
     pair = ["doc_id", "text_hash", "item_id"]
     lines = met.groupBy(*pair, "n_words", diagonal).agg(
-        F.collect_set("item_at").alias("places"), F.bool_or("slots").alias("slots")
+        F.collect_set("item_at").alias("places"), F.collect_set(F.when(~F.col("slots"), F.col("item_at"))).alias("literal")
     )
+    # Places that match word by word, too, need no look at what stands behind placeholders.
+    slots = (F.size(F.array_except("places", "literal")) > 0).alias("slots")
+    lines = lines.select(*pair, "n_words", "diagonal", "places", slots)
     # Diagonals of a pair that together cover too little cannot matter; nor can their slots.
     whole = F.flatten(F.collect_list("places"))
     wide = lines.groupBy(*pair, "n_words").agg(whole.alias("all"), F.bool_or("slots").alias("any_slots"))
@@ -139,24 +172,73 @@ def leaks(
     return settled.unionByName(_with_slots(open_lines, keyed, benchmark, item_id_col, item_text_col, coverage))
 
 
+def common_words(words: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of ``words`` (column ``word``) that ``texts`` have in lower case more often than as names."""
+    cased = F.array_remove(F.split(F.regexp_replace("text", _STRIPPED, ""), r"\s+"), "")
+    lower = F.transform(
+        F.filter(cased, lambda w: w == F.lower(w)), lambda w: F.struct(w.alias("word"), F.lit(1).alias("more"))
+    )
+    names = F.transform(
+        F.regexp_extract_all("text", F.lit(_NAMED), F.lit(0)),
+        lambda w: F.struct(F.regexp_replace(F.lower(w), _STRIPPED, "").alias("word"), F.lit(-1).alias("more")),
+    )
+    each = texts.select(F.explode_outer(F.concat(lower, names)).alias("x")).select("x.word", "x.more")
+    counted = each.groupBy("word").agg(F.sum("more").alias("more")).where("more > 0").select("word")
+    return counted.join(words, "word", "left_semi")
+
+
 def _with_slots(
     lines: DataFrame, keyed: DataFrame, benchmark: DataFrame, item_id_col: str, item_text_col: str, coverage: float
 ) -> DataFrame:
     """Decide pairs with placeholders by the values that these hold on each diagonal."""
-    items = benchmark.where(F.col(item_text_col).isNotNull()).select(
+    item_texts = benchmark.where(F.col(item_text_col).isNotNull())
+    items = item_texts.select(
         F.col(item_id_col).alias("item_id"),
-        template_words(F.col(item_text_col)).alias("template"),
+        template_words(F.col(item_text_col)).alias("inner"),
+        template_words(F.col(item_text_col), _CAPITAL).alias("template"),
         plain_words(F.col(item_text_col)).alias("item_words"),
     )
-    held = keyed.select(F.struct("doc_id", "text_hash").alias("key"), plain_words(F.col("text")).alias("doc_words"))
+    held = keyed.select(
+        F.struct("doc_id", "text_hash").alias("key"),
+        template_words(F.col("text")).alias("doc_inner"),
+        plain_words(F.col("text")).alias("doc_words"),
+    )
     needed = lines.select(F.struct("doc_id", "text_hash").alias("key")).distinct()
     held = held.join(needed, "key", "left_semi").dropDuplicates(["key"])
     rows = lines.withColumn("key", F.struct("doc_id", "text_hash")).join(held, "key").join(items, "item_id")
     spots = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + (WINDOW - 1)))))
+    found = lambda i: F.get("doc_words", i + F.col("diagonal"))
+    # Names that begin a sentence on either side and differ.
+    doubtful = F.filter(
+        spots,
+        lambda i: F.get("template", i).contains(NAME)
+        & ~F.get("item_words", i).eqNullSafe(found(i))
+        & ~(F.get("inner", i).contains(NAME) & F.get("doc_inner", i + F.col("diagonal")).contains(NAME)),
+    )
     values = F.transform(
         F.filter(spots, lambda i: has_slot(F.get("template", i))),
-        lambda i: F.struct(F.get("item_words", i).alias("given"), F.get("doc_words", i + F.col("diagonal")).alias("found")),
+        lambda i: F.struct(i.alias("at"), F.get("item_words", i).alias("given"), found(i).alias("found")),
     )
+    # Repeated items are several rows of one id, told by their words.
+    line = F.struct("doc_id", "text_hash", "item_id", "diagonal", F.xxhash64("item_words", "template").alias("item_hash"))
+    rows = rows.select(
+        "doc_id", "text_hash", "item_id", "n_words", "places", line.alias("line"), values.alias("values"),
+        F.transform(doubtful, lambda i: F.struct(i.alias("at"), F.get("item_words", i).alias("a"), found(i).alias("b"))).alias("doubtful"),
+    )
+    rows = materialize(rows.dropDuplicates(["line"]), "slot_values")
+    asked = rows.select("line", F.explode("doubtful").alias("x"))
+    asked = asked.select("line", "x.at", F.explode(F.array("x.a", "x.b")).alias("word"))
+    if not asked.isEmpty():
+        texts = keyed.select("text").unionByName(item_texts.select(F.col(item_text_col).alias("text")))
+        common = materialize(common_words(asked.select("word").distinct(), texts), "common_words")
+        wrong = asked.join(common, "word").groupBy("line").agg(F.collect_set("at").alias("wrong"))
+        rows = rows.join(wrong, "line", "left").withColumn("wrong", F.coalesce("wrong", F.array().cast("array<int>")))
+        inside = lambda p: lambda at: (at >= p) & (at < p + WINDOW)
+        rows = rows.withColumn("places", F.filter("places", lambda p: ~F.exists("wrong", inside(p))))
+        rows = rows.withColumn(
+            "values", F.filter("values", lambda v: F.exists("places", lambda p: (v["at"] >= p) & (v["at"] < p + WINDOW)))
+        ).where(F.size("places") > 0)
+    values = F.transform("values", lambda v: F.struct(v["given"].alias("given"), v["found"].alias("found")))
     rows = rows.withColumn("values", F.array_distinct(values))
     consistent = F.size("values") == F.size(F.array_distinct(F.col("values")["given"]))
     rows = rows.where(consistent)

@@ -73,6 +73,20 @@ def test_boilerplate_depletes(docs_of, words):
     assert got[0].n_boilerplate_lines == 5 and got[0].left_words == 10 and got[200].n_boilerplate_lines == 0
 
 
+def test_boilerplate_is_taken_out_of_the_texts(docs_of, words):
+    own = lambda k: " ".join(words(40, 1000 + k)) + "\n\n" + " ".join(words(40, 3000 + k))
+    rows = [(k, f"Terms  {k} of use\n{own(k)}\nTERMS 7 OF use", "hot") for k in range(30)]
+    rows += [(3, rows[3][1], "hot"), (None, f"{own(99)}\n", None), (50, None, "hot"), (51, "terms 1 of use\n" * 20, "hot")]
+    docs = docs_of(rows)
+    got = line_quality.remove_boilerplate(docs)
+    assert got.columns == docs.columns
+    want = [(k, own(k), "hot") for k in [*range(30), 3]] + [(None, f"{own(99)}\n", None)]
+    left = [(r.doc_id, r.text, r.source) for r in got.collect()]
+    assert sorted(left, key=str) == sorted(want, key=str)
+    judged = [(r.doc_id, r.left_words) for r in line_quality.judge(docs).collect() if r.kept]
+    assert sorted(judged, key=str) == sorted(((k, len(text.split())) for k, text, _ in left), key=str)
+
+
 def water_fill(sizes, weights, share, most):
     """Targets by handing out again and again what the caps cut off."""
     target, open_ones = {s: 0.0 for s in sizes}, {s for s in sizes if sizes[s]}

@@ -72,24 +72,29 @@ def repeat_words(hashes: Column) -> Column:
     return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(total["sum"])
 
 
+def line_hash(line: Column) -> Column:
+    """Case, digits and spacing do not make another line."""
+    return F.xxhash64(F.regexp_replace(F.regexp_replace(F.lower(line), r"[0-9]+", "0"), _SPACE, " "))
+
+
+def host_key(host: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("="), host.cast("string")), F.lit("null"))
+
+
 def text_counts(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
     """Counts of each text, and of its lines: normalised hash, words, times."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
-        F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit("null")).alias("host"),
+        host_key(F.col(host_col)).alias("host"),
         text.alias("text"),
     )
     rows = rows.withColumn("tokens", words(F.col("text")))
     lines = F.filter(F.split("text", "\n"), lambda line: F.length(F.translate(line, _SPACES, "")) > 0)
     rows = rows.withColumn("lines", lines).withColumn("windows", window_hashes(F.col("tokens")))
-    # Case, digits and spacing do not make another line.
     plain = F.transform(
         F.col("lines"),
-        lambda line: F.struct(
-            F.xxhash64(F.regexp_replace(F.regexp_replace(F.lower(line), r"[0-9]+", "0"), _SPACE, " ")).alias("line"),
-            F.size(words(line)).alias("words"),
-        ),
+        lambda line: F.struct(line_hash(line).alias("line"), F.size(words(line)).alias("words")),
     )
     return rows.select(
         "doc_id",
@@ -115,6 +120,31 @@ def boilerplate(different: DataFrame, least: int = LINE_DOCUMENTS, share: float
     return counted.join(sizes, "host").where(F.col("n") > F.lit(share) * F.col("documents")).select("host", "line")
 
 
+def with_losses(rows: DataFrame, least: int, share: float) -> DataFrame:
+    """``rows`` of ``text_counts`` with ``lines_lost, words_lost`` and ``marks``, the hashes of their boilerplate."""
+    # Documents with equal texts count as one, for copies are not what this rule is about, and share
+    # their lines' fate.
+    different = rows.groupBy("host", "text_hash").agg(F.first("lines").alias("lines"))
+    different = materialize(different, "different_texts")
+    common = materialize(boilerplate(different, least, share), "boilerplate")
+    each = different.select("host", "text_hash", F.explode("lines").alias("x")).select(
+        "host", "text_hash", F.col("x.line").alias("line"), F.col("x.words").alias("words")
+    )
+    lost = each.join(common, ["host", "line"]).groupBy("host", "text_hash")
+    lost = lost.agg(
+        F.count("*").alias("lines_lost"), F.sum("words").alias("words_lost"), F.collect_set("line").alias("marks")
+    )
+    return rows.join(lost, ["host", "text_hash"], "left")
+
+
+def verdict() -> tuple[Column, Column, Column]:
+    """Words left, failure by the base rules, depletion, for rows of ``with_losses``."""
+    left = F.col("n_words") - F.coalesce("words_lost", F.lit(0))
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    depleted = (left < LEFT_WORDS) | (left < F.lit(LEFT_SHARE) * F.col("n_words"))
+    return left, failed, depleted
+
+
 def judge(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -136,20 +166,8 @@ def judge(
     gives an empty one.
     """
     rows = materialize(text_counts(docs, id_col, text_col, host_col), "line_counts")
-    # Documents with equal texts count as one, for copies are not what this rule is about, and share
-    # their lines' fate.
-    different = rows.groupBy("host", "text_hash").agg(F.first("lines").alias("lines"))
-    different = materialize(different, "different_texts")
-    common = materialize(boilerplate(different, least, share), "boilerplate")
-    each = different.select("host", "text_hash", F.explode("lines").alias("x")).select(
-        "host", "text_hash", F.col("x.line").alias("line"), F.col("x.words").alias("words")
-    )
-    lost = each.join(common, ["host", "line"]).groupBy("host", "text_hash")
-    lost = lost.agg(F.count("*").alias("lines_lost"), F.sum("words").alias("words_lost"))
-    judged = rows.join(lost, ["host", "text_hash"], "left")
-    left = F.col("n_words") - F.coalesce("words_lost", F.lit(0))
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    depleted = (left < LEFT_WORDS) | (left < F.lit(LEFT_SHARE) * F.col("n_words"))
+    judged = with_losses(rows, least, share)
+    left, failed, depleted = verdict()
     return judged.select(
         "doc_id",
         "n_words",
@@ -163,3 +181,31 @@ def judge(
         F.coalesce("lines_lost", F.lit(0)).cast("bigint").alias("n_boilerplate_lines"),
         left.cast("bigint").alias("left_words"),
     )
+
+
+def remove_boilerplate(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    host_col: str = "source",
+    least: int = LINE_DOCUMENTS,
+    share: float = LINE_SHARE,
+) -> DataFrame:
+    """The rows that ``judge`` keeps, all columns as they are but the text, which loses its boilerplate lines.
+
+    A line goes with the line break that ends it; all other line breaks and blank lines stay.
+    """
+    rows = materialize(text_counts(docs, id_col, text_col, host_col), "line_counts")
+    # One row per text: verdict and losses are those of the text and its host.
+    judged = with_losses(rows.dropDuplicates(["host", "text_hash"]), least, share)
+    _, failed, depleted = verdict()
+    kept = judged.where(~failed & ~depleted).select(
+        F.col("host").alias("__host"), F.col("text_hash").alias("__hash"), F.col("marks").alias("__marks")
+    )
+    text = F.col(f"`{text_col}`")
+    own = F.filter(F.split(text, "\n"), lambda line: ~F.array_contains("__marks", line_hash(line)))
+    left = F.when(F.col("__marks").isNull(), text).otherwise(F.array_join(own, "\n")).alias(text_col)
+    keyed = docs.withColumns(
+        {"__host": host_key(F.col(host_col)), "__hash": F.xxhash64(F.coalesce(text, F.lit("")))}
+    ).join(kept, ["__host", "__hash"])
+    return keyed.select(*[left if name == text_col else F.col(f"`{name}`") for name in docs.columns])

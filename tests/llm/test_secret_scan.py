@@ -53,3 +53,16 @@ def test_random_strings_are_found_among_ordinary_words(docs_of, words):
 def test_nothing_to_compare_with_claims_nothing(docs_of):
     assert secret_scan.secrets(docs_of([(1, "Zm9vYmFyMTIzNDU2Nzg5MA9x8", "s")])).first().n_random == 0
     assert secret_scan.secrets(docs_of([])).count() == 0
+
+
+def test_letter_strings_with_capitals_inside_are_candidates(docs_of, words):
+    r = random.Random(6)
+    long_words = ["".join(words(6, seed, "eeeaattionrsh"))[:24] for seed in range(600)]
+    mixed = ["".join(r.choice(secret_scan._BASE62[10:]) for _ in range(48)) for _ in range(20)]
+    upper = ["".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(40)) for _ in range(20)]
+    rows = [(i, " ".join(long_words[k] for k in range(i * 20, i * 20 + 20)), "s") for i in range(30)]
+    rows += [(100 + i, f"some words {key} more", "s") for i, key in enumerate(mixed + upper)]
+    rows += [(200, "INTERNATIONALISATION Internationalisation/Localisation", "s")]
+    got = {row.doc_id: row.n_random for row in secret_scan.secrets(docs_of(rows)).collect()}
+    assert sum(got[100 + i] for i in range(20)) >= 15 and sum(got[120 + i] for i in range(20)) >= 15
+    assert sum(got[i] for i in range(30)) == 0 and got[200] == 0

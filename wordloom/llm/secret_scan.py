@@ -6,6 +6,9 @@ be drawn evenly from that encoding's alphabet: chi-squared uniformity of the sym
 runs above and below the middle, and serial correlation. Each gives a deviate, and the sum of their
 squares is small for random strings and large for ordinary words.
 
+Letter strings are ordinary if their words are lower-case but for a first capital. With capitals
+inside they are candidates like any other.
+
 What is small enough is a matter of false discoveries, and of length, as short words can look
 random by accident. Ordinary letter strings of the corpus that are no longer than the candidate's
 length class tell how often that happens: their share with as small a sum is the candidate's
@@ -40,7 +43,7 @@ _BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 _BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 # Name, pattern that infers it (the first that fits), alphabet, whether case is set aside.
 ENCODINGS = (
-    ("plain", r"^[A-Za-z+/_-]+$", "abcdefghijklmnopqrstuvwxyz+/_-", True),
+    ("plain", r"^(?!.*[A-Za-z][A-Z])[A-Za-z+/_-]+$", "abcdefghijklmnopqrstuvwxyz+/_-", True),
     ("digits", r"^[0-9+/_-]+$", "0123456789+/_-", True),
     ("hex", r"^([0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef", True),
     ("base32", r"^[A-Z2-7]+$", "abcdefghijklmnopqrstuvwxyz234567", True),

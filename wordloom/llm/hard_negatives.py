@@ -60,18 +60,18 @@ def _cells(row: dict) -> np.ndarray:
     return np.frombuffer(row["cells"], dtype=row["unit"]).reshape(row["n"], row["width"]).astype(np.float64)
 
 
-def _cuts(lengths: np.ndarray) -> list[int]:
+def _cuts(lengths: np.ndarray, rows: int) -> list[int]:
     """Borders of pieces whose rows, padded to the widest one, stay within the limits."""
     borders, start, width = [0], 0, 1
     for i, length in enumerate(lengths.tolist()):
         width = max(width, length)
-        if i > start and (i - start >= PIECE or (i - start + 1) * width > PIECE_CELLS):
+        if i > start and (i - start >= rows or (i - start + 1) * width > PIECE_CELLS):
             borders.append(i)
             start, width = i, max(length, 1)
     return [*borders, len(lengths)] if len(lengths) else borders
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pack(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     """Rows ``id, label, anchor, vector`` to pieces, ordered by id inside each; short vectors get zeros."""
     for batch in batches:
         ids, labels = (batch.column(i).to_numpy() for i in (0, 1))
@@ -79,7 +79,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors = batch.column(3)
         offsets = vectors.offsets.to_numpy()
         values, lengths = vectors.values.to_numpy(), np.diff(offsets)
-        borders = _cuts(lengths)
+        borders = _cuts(lengths, rows)
         for low, high in zip(borders, borders[1:]):
             order = low + np.argsort(ids[low:high], kind="stable")
             width = int(lengths[low:high].max(initial=0))
@@ -96,7 +96,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pylist([made], schema=_PACKED)
 
 
-def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pick(batches: Iterator[pa.RecordBatch], group: int) -> Iterator[pa.RecordBatch]:
     """The anchors of pieces, in groups, with the piece and place each comes from."""
     held: list[tuple] = []
 
@@ -119,7 +119,7 @@ def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, labels, cells = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["labels"], "<i8"), _cells(row)
             for at in places.tolist():
                 wide = max(wide, row["width"])
-                if held and (len(held) >= GROUP or (len(held) + 1) * wide > PIECE_CELLS):
+                if held and (len(held) >= group or (len(held) + 1) * wide > PIECE_CELLS):
                     yield made(held)
                     held, wide = [], max(row["width"], 1)
                 held.append((int(ids[at]), int(labels[at]), row["piece"], at, cells[at].astype(np.int32)))
@@ -320,10 +320,11 @@ def hard_negatives(
     usable = wide.where(F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("vector").isNotNull() & finite)
     rows = usable.select("id", "label", "anchor", F.transform("vector", ints).alias("vector"))
     schema = "n int, width int, ids binary, labels binary, anchors binary, unit string, cells binary"
-    pieces = rows.mapInArrow(_pack, schema).withColumn("piece", F.monotonically_increasing_id())
+    piece, group = PIECE, GROUP
+    pieces = rows.mapInArrow(lambda batches: _pack(batches, piece), schema).withColumn("piece", F.monotonically_increasing_id())
     pieces = materialize(pieces, "vector_pieces")
     schema = "n int, width int, ids binary, labels binary, pieces binary, places binary, unit string, cells binary"
-    groups = pieces.mapInArrow(_pick, schema).withColumn("grp", F.monotonically_increasing_id())
+    groups = pieces.mapInArrow(lambda batches: _pick(batches, group), schema).withColumn("grp", F.monotonically_increasing_id())
     groups = materialize(groups, "anchor_groups")
     lanes = -(-max(pieces.count(), 1) // LANE_PIECES)
 

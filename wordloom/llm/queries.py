@@ -12,6 +12,7 @@ from wordloom.llm import (
     line_quality,
     near_dedup,
     secret_scan,
+    source_audit,
     source_mix,
     suffix_dedup,
     token_counts,
@@ -83,6 +84,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label_col=label)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.divergences(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_benchmark_templates": op2_benchmark_templates,
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_systematic_mix": op9_systematic_mix,
     "op10_token_counts": op10_token_counts,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
@@ -184,4 +190,35 @@ ORACLE: dict[str, str] = {
                - floor(start + target / source_size * (rank - 1)) ELSE 0 END::BIGINT AS taken
         FROM ranked
     """,
+    "op12_source_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+        e AS (SELECT row, lang, source, unnest(terms) AS term FROM d),
+        kept AS (SELECT lang, term, count(*) AS total FROM e GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+        langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(total)::HUGEINT AS size FROM kept GROUP BY lang),
+        groups AS (SELECT DISTINCT lang, source FROM d),
+        c AS (SELECT lang, source, term, count(*) AS n FROM e SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+        sizes AS (
+            SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS size FROM groups LEFT JOIN c USING (lang, source) GROUP BY ALL),
+        whole AS (
+            SELECT s.lang, s.source, term, coalesce(n, 0) AS n, total, langs.size AS lang_size, v,
+                   1 + 1000000000::HUGEINT * (coalesce(n, 0) + 1) // (s.size + v) AS p
+            FROM sizes s JOIN langs USING (lang) JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+        pairs AS (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+            FROM whole a JOIN whole b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        every AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM (
+                SELECT *, 1 + 1000000000::HUGEINT * (total + 1) // (lang_size + v) AS q FROM whole)
+            WHERE n > 0 AND p > q)
+        SELECT lang, source, part, item, value::BIGINT AS value,
+               row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+        FROM every QUALIFY part = 'pair' OR rank <= 200
+    """.replace("\\\\", "\\"),
 }

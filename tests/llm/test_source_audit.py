@@ -62,7 +62,7 @@ def test_equals_brute_force(spark, rows):
     assert audited(spark, rows) == want and {r[2] for r in want} == {"pair", "term"}
 
 
-@pytest.mark.parametrize("changed", [{"BLOCK": 3}, {"SHARD_TERMS": 7}, {"BLOCK": 1, "SHARD_TERMS": 20}, {"ROWS": 3, "HELD": 50}])
+@pytest.mark.parametrize("changed", [{"BLOCK": 3}, {"SHARD_TERMS": 7}, {"BLOCK": 1, "SHARD_TERMS": 20}, {"PIECE_BYTES": 300, "HELD": 50}])
 def test_layout_changes_nothing(spark, rows, monkeypatch, changed):
     for name, value in changed.items():
         monkeypatch.setattr(source_audit, name, value)

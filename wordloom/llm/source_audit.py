@@ -27,86 +27,100 @@ SEPARATORS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 LEAST_DOCUMENTS = 3
 TERM_RANKS = 200
 SCALE = 10**9
-# Texts split at once, rows of partial counts held by a task, terms of a shard, sources of a block.
-ROWS, HELD, SHARD_TERMS, BLOCK = 512, 400_000, 2048, 256
+# Bytes of text split at once, rows of partial counts held by a task, terms of a shard, sources of a block.
+PIECE_BYTES, HELD, SHARD_TERMS, BLOCK = 8 << 20, 1_500_000, 2048, 256
 
-_COUNTS = pa.schema([
-    ("lang", pa.large_string()), ("source", pa.large_string()), ("term", pa.large_string()),
-    ("n", pa.int64()), ("docs", pa.int64()),
-])
+_COUNTS = pa.schema([("code", pa.int64()), ("term", pa.large_string()), ("n", pa.int64()), ("docs", pa.int64())])
 _PARTS = pa.schema([
     ("lang", pa.string()), ("source", pa.int32()), ("other", pa.int32()), ("term", pa.string()),
     ("value", pa.int64()), ("seen", pa.int64()),
 ])
 
 
-def batch_counts(langs: pa.Array, sources: pa.Array, texts: pa.Array) -> pa.Table:
-    """Partial counts of a few texts: ``lang, source, term, n, docs``, and a row without a term per source."""
+def batch_counts(codes: np.ndarray, texts: pa.Array) -> pa.Table:
+    """Partial counts of a few texts: ``code, term, n, docs``; ``codes`` tell their sources."""
     # A slice is copied first: Arrow's string functions misread the buffers of some slices.
     texts = pa.concat_arrays([texts.cast(pa.large_string())])
     split = pc.split_pattern_regex(pc.ascii_lower(texts), SEPARATORS)
     offsets = split.offsets.to_numpy()
     terms = split.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0])).dictionary_encode()
     doc = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(offsets))
-    lang, source = langs.cast(pa.large_string()).dictionary_encode(), sources.cast(pa.large_string()).dictionary_encode()
-    width = max(len(source.dictionary), 1)
-    group = lang.indices.to_numpy().astype(np.int64) * width + source.indices.to_numpy()
     names = terms.dictionary
-    empty = pc.index(names, pa.scalar("", pa.large_string())).as_py()
     each = pa.table({"doc": doc, "term": terms.indices})
+    empty = pc.index(names, pa.scalar("", pa.large_string())).as_py()
     if empty >= 0:
         each = each.filter(pc.not_equal(each["term"], empty))
     by_doc = each.group_by(["doc", "term"], use_threads=False).aggregate([([], "count_all")])
-    by_doc = pa.table({
-        "group": group[by_doc["doc"].to_numpy()], "term": by_doc["term"], "n": by_doc["count_all"],
-    })
-    counted = by_doc.group_by(["group", "term"], use_threads=False).aggregate([("n", "sum"), ("n", "count")])
-    present, docs = np.unique(group, return_counts=True)
-    groups = np.concatenate([counted["group"].to_numpy(), present])
+    by_doc = pa.table({"code": codes[by_doc["doc"].to_numpy()], "term": by_doc["term"], "n": by_doc["count_all"]})
+    counted = by_doc.group_by(["code", "term"], use_threads=False).aggregate([("n", "sum"), ("n", "count")])
     found = names.take(pa.array(counted["term"].to_numpy()))
-    columns = [
-        lang.dictionary.take(pa.array(groups // width)),
-        source.dictionary.take(pa.array(groups % width)),
-        pa.concat_arrays([found, pa.nulls(len(present), pa.large_string())]),
-        pa.array(np.concatenate([counted["n_sum"].to_numpy(), np.zeros(len(present), dtype=np.int64)])),
-        pa.array(np.concatenate([counted["n_count"].to_numpy(), docs])),
-    ]
-    return pa.table(columns, schema=_COUNTS)
+    return pa.table([counted["code"], found, counted["n_sum"], counted["n_count"]], schema=_COUNTS)
+
+
+def merged(parts: list[pa.Table]) -> pa.Table:
+    if len(parts) == 1:
+        return parts[0]
+    added = pa.concat_tables(parts).group_by(["code", "term"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
+    return added.select(["code", "term", "n_sum", "docs_sum"]).rename_columns(_COUNTS.names).cast(_COUNTS)
 
 
-def merged(table: pa.Table) -> pa.Table:
-    added = table.group_by(["lang", "source", "term"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
-    return added.select(["lang", "source", "term", "n_sum", "docs_sum"]).rename_columns(_COUNTS.names).cast(_COUNTS)
+def pieces(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of up to ``most`` bytes of text, or of one text."""
+    upto = np.cumsum(pc.binary_length(batch.column(1)).to_numpy().astype(np.int64))
+    start = 0
+    while start < batch.num_rows:
+        before = int(upto[start - 1]) if start else 0
+        end = max(start + 1, int(np.searchsorted(upto, before + most, side="right")))
+        yield batch.slice(start, end - start)
+        start = end
 
 
-def _count(batches: Iterator[pa.RecordBatch], n_rows: int, most: int) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], piece_bytes: int, most: int) -> Iterator[pa.RecordBatch]:
     held: list[pa.Table] = []
     size = 0
     for whole in batches:
-        for start in range(0, whole.num_rows, n_rows):
-            batch = whole.slice(start, n_rows)
-            part = batch_counts(*batch.columns)
+        for batch in pieces(whole, piece_bytes):
+            part = batch_counts(batch.column(0).to_numpy(), batch.column(1))
             held.append(part)
             size += part.num_rows
             if size > most:
-                held = [merged(pa.concat_tables(held))]
+                held = [merged(held)]
                 size = held[0].num_rows
                 # Mostly different terms: merging them here no longer pays.
                 if size > most // 2:
                     yield from held[0].to_batches(max_chunksize=50_000)
                     held, size = [], 0
     if held:
-        yield from merged(pa.concat_tables(held)).to_batches(max_chunksize=50_000)
+        yield from merged(held).to_batches(max_chunksize=50_000)
+
+
+def source_codes(names: DataFrame) -> DataFrame:
+    """``lang, name, code, source`` of every (lang, name): a 64-bit code for all, a number inside the language.
+
+    Codes are hashes; should two names meet, others are taken.
+    """
+    number = (F.row_number().over(Window.partitionBy("lang").orderBy("name")) - 1).alias("source")
+    n = names.count()
+    for seed in range(64):
+        coded = names.select("lang", "name", F.xxhash64(F.lit(seed), "lang", "name").alias("code"), number, F.lit(seed).alias("seed"))
+        if coded.select("code").distinct().count() == n:
+            return materialize(coded, "source_codes")
+    raise ValueError("no seed tells the sources apart")
 
 
-def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``lang, source, term, n, docs``: occurrences and documents; the row without a term counts all documents."""
+def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
+    """``lang, source, term, n, docs``: occurrences and documents of each term; and ``source_codes``."""
     ship(docs.sparkSession)
-    given = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (lang_col, source_col, text_col)]
-    rows = docs.select(given[0].alias("lang"), given[1].alias("source"), given[2].alias("text"))
-    n_rows, most = ROWS, HELD
-    partial = rows.mapInArrow(lambda batches: _count(batches, n_rows, most), "lang string, source string, term string, n bigint, docs bigint")
-    return partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    lang, name, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (lang_col, source_col, text_col))
+    names = materialize(docs.select(lang.alias("lang"), name.alias("name")).distinct(), "source_names")
+    codes = source_codes(names)
+    seed = codes.agg(F.coalesce(F.max("seed"), F.lit(0))).first()[0]
+    rows = docs.select(F.xxhash64(F.lit(seed), lang, name).alias("code"), text.alias("text"))
+    piece_bytes, most = PIECE_BYTES, HELD
+    partial = rows.mapInArrow(lambda batches: _count(batches, piece_bytes, most), "code bigint, term string, n bigint, docs bigint")
+    counts = partial.groupBy("code", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    counts = counts.join(codes.select("code", "lang", "source"), "code").select("lang", "source", "term", "n", "docs")
+    return materialize(counts, "term_counts"), codes
 
 
 def scaled(counts: np.ndarray, size: int) -> np.ndarray:
@@ -188,18 +202,16 @@ def divergences(
     Repeated rows are documents of their own. A language of one source has no pairs, one without
     common terms has pairs of value 0. Other columns are not looked at. An empty table gives no rows.
     """
-    counts = materialize(term_counts(docs, text_col, lang_col, source_col), "term_counts")
-    known = counts.where(F.col("term").isNotNull())
-    kept = known.groupBy("lang", "term").agg(F.sum("docs").alias("d"), F.sum("n").alias("total"))
+    counts, codes = term_counts(docs, text_col, lang_col, source_col)
+    kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("d"), F.sum("n").alias("total"))
     kept = materialize(kept.where(F.col("d") >= least_documents).select("lang", "term", "total"), "kept_terms")
-    held = materialize(known.select("lang", "source", "term", "n").join(kept, ["lang", "term"]), "kept_counts")
+    held = counts.select("lang", "source", "term", "n").join(kept, ["lang", "term"])
+    held = materialize(held, "kept_counts")
 
     # One row per language and one per source of it.
     langs = kept.groupBy("lang").agg(F.count("*").alias("vocabulary"), F.sum("total").alias("lang_size"))
     sizes = held.groupBy("lang", "source").agg(F.sum("n").alias("size"))
-    numbered = (F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1).alias("number")
-    groups = counts.where(F.col("term").isNull()).select("lang", F.col("source").alias("name"), numbered.alias("source"))
-    groups = groups.join(sizes.withColumnRenamed("source", "name"), ["lang", "name"], "left")
+    groups = codes.select("lang", "name", "source").join(sizes, ["lang", "source"], "left")
     zero = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("size", "vocabulary", "lang_size")]
     groups = groups.join(langs, "lang", "left").select("lang", "name", "source", *zero)
     groups = materialize(groups, "audited_sources")
@@ -208,9 +220,8 @@ def divergences(
 
     n_shards = F.ceil(F.greatest("vocabulary", F.lit(1)) / SHARD_TERMS).cast("int")
     shard = F.pmod(F.xxhash64("term"), n_shards).cast("int")
-    named = groups.select("lang", F.col("name"), "source", "size", "vocabulary", "lang_size", "last")
-    entries = held.withColumnRenamed("source", "name").join(named, ["lang", "name"])
-    entries = entries.withColumn("shard", shard)
+    named = groups.select("lang", "source", "size", "vocabulary", "lang_size", "last")
+    entries = held.join(named, ["lang", "source"]).withColumn("shard", shard)
     bare = named.withColumn("shard", F.explode(F.sequence(F.lit(0), n_shards - 1)))
     bare = bare.withColumns({"term": F.lit(None).cast("string"), "total": F.lit(None).cast("bigint"), "n": F.lit(None).cast("bigint")})
     own = F.floor(F.col("source") / BLOCK).cast("int")

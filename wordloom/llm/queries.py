@@ -11,6 +11,7 @@ from wordloom.llm import (
     hard_negatives,
     line_quality,
     near_dedup,
+    personal_data,
     secret_scan,
     source_audit,
     source_mix,
@@ -88,6 +89,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.divergences(table(spark, sf_dir, "documents"))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_data_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_benchmark_templates": op2_benchmark_templates,
@@ -101,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": op10_token_counts,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_source_divergence": op12_source_divergence,
+    "op13_personal_data": op13_personal_data,
 }
 
 WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"

@@ -301,6 +301,22 @@ def _interpolated() -> str:
     )
 
 
+def _looked_up(rows: str, keys: dict[str, str], table: str, value: str, name: str) -> str:
+    """``rows`` with ``name``, the ``value`` that ``table`` has under the same keys (row column: table column).
+
+    Both sides are stacked and the value is spread over the rows of its key, so that there is no join
+    whose order a planner could get wrong; rows without a value are dropped, as an inner join does.
+    """
+    own = ", ".join(f"r.{c} AS k{i}" for i, c in enumerate(keys))
+    other = ", ".join(f"{c}" for c in keys.values())
+    by = ", ".join(f"k{i}" for i in range(len(keys)))
+    return (
+        f"SELECT r.*, {name} FROM (SELECT r, max(v) OVER (PARTITION BY {by}) AS {name} FROM ("
+        f"SELECT r, {own}, NULL::DOUBLE AS v FROM ({rows}) r UNION ALL SELECT NULL, {other}, {value}::DOUBLE FROM {table})) "
+        f"WHERE r IS NOT NULL AND {name} IS NOT NULL"
+    )
+
+
 def _select(cols: str, table: str) -> str:
     return _with((table,), f"SELECT {cols} FROM {table}")
 
@@ -380,21 +396,31 @@ def oracle_sql() -> dict[str, str]:
         ),
         "bigram_interpolated_target": _with(
             ("p1", "p2"),
-            "SELECT w1, w2, 0.75::DOUBLE * p2.prob_mle + 0.25::DOUBLE * u.uni_prob AS smooth_prob "
-            "FROM p2 JOIN p1 u ON w2 = word",
+            "SELECT w1, w2, 0.75::DOUBLE * prob_mle + 0.25::DOUBLE * u AS smooth_prob FROM (%s)"
+            % _looked_up("SELECT w1, w2, prob_mle FROM p2", {"w2": "word"}, "p1", "uni_prob", "u"),
         ),
         "trigram_interpolated_target": _with(
             ("p1", "p2", "p3"),
-            "SELECT p3.w1, p3.w2, p3.w3, 0.58::DOUBLE * tri_prob + 0.28::DOUBLE * b.prob_mle "
-            "+ 0.14::DOUBLE * u.uni_prob AS smooth_prob FROM p3 JOIN p2 b ON b.w1 = p3.w2 AND b.w2 = p3.w3 "
-            "JOIN p1 u ON p3.w3 = u.word",
+            "SELECT w1, w2, w3, 0.58::DOUBLE * tri_prob + 0.28::DOUBLE * b + 0.14::DOUBLE * u AS smooth_prob FROM (%s)"
+            % _looked_up(
+                _looked_up("SELECT w1, w2, w3, tri_prob FROM p3", {"w2": "w1", "w3": "w2"}, "p2", "prob_mle", "b"),
+                {"w3": "word"}, "p1", "uni_prob", "u",
+            ),
         ),
         "tetragram_interpolated_target": _with(
             ("p1", "p2", "p3", "p4"),
-            "SELECT p4.w1, p4.w2, p4.w3, p4.w4, 0.4::DOUBLE * tetra_prob + 0.3::DOUBLE * t.tri_prob "
-            "+ 0.2::DOUBLE * b.prob_mle + 0.1::DOUBLE * u.uni_prob AS smooth_prob "
-            "FROM p4 JOIN p3 t ON t.w1 = p4.w2 AND t.w2 = p4.w3 AND t.w3 = p4.w4 "
-            "JOIN p2 b ON b.w1 = p4.w3 AND b.w2 = p4.w4 JOIN p1 u ON p4.w4 = u.word",
+            "SELECT w1, w2, w3, w4, 0.4::DOUBLE * tetra_prob + 0.3::DOUBLE * t + 0.2::DOUBLE * b + 0.1::DOUBLE * u "
+            "AS smooth_prob FROM (%s)"
+            % _looked_up(
+                _looked_up(
+                    _looked_up(
+                        "SELECT w1, w2, w3, w4, tetra_prob FROM p4",
+                        {"w2": "w1", "w3": "w2", "w4": "w3"}, "p3", "tri_prob", "t",
+                    ),
+                    {"w3": "w1", "w4": "w2"}, "p2", "prob_mle", "b",
+                ),
+                {"w4": "word"}, "p1", "uni_prob", "u",
+            ),
         ),
         "scaled_score": _with(
             ("top2", "top3"),
@@ -447,7 +473,18 @@ def oracle_sql() -> dict[str, str]:
         "top3_trigram_kn": _with(("kn3",), top.format(_top(3, 3, "kn3", "prob_kn"))),
         "indexed_bigrams": _with(
             ("c2", "dictionary"),
-            _ids(2, "bi_freq, bi_freq::DOUBLE / d1.uni_freq::DOUBLE AS bi_prob, d1.uni_freq, d1.uni_prob", ""),
+            "SELECT a::BIGINT AS w1_int, b::BIGINT AS w2_int, bi_freq, bi_freq::DOUBLE / f AS bi_prob, f::BIGINT AS uni_freq, "
+            "p AS uni_prob FROM (%s)"
+            % _looked_up(
+                _looked_up(
+                    _looked_up(
+                        _looked_up("SELECT w1, w2, bi_freq FROM c2", {"w1": "word"}, "dictionary", "word_int", "a"),
+                        {"w2": "word"}, "dictionary", "word_int", "b",
+                    ),
+                    {"w1": "word"}, "dictionary", "uni_freq", "f",
+                ),
+                {"w1": "word"}, "dictionary", "uni_prob", "p",
+            ),
         ),
         "indexed_trigrams": _with(
             ("c2", "c3", "dictionary"),

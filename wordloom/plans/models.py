@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wordloom.functions.text import clean_text, remove_listed_features, tokenize
 from wordloom.functions.words import STOP_WORDS, drop_stop_words, trim_predictions
@@ -23,7 +25,8 @@ from wordloom.operators.mle import (
     unigram_mle,
 )
 from wordloom.operators.ranking import index_words, model_table, top_k, top_ngrams
-from wordloom.workspace import materialize, spread
+from wordloom.plans.lookup import has_lookup, read_lookup, write_lookup
+from wordloom.workspace import materialize, remove, shared_folder, spread, subfolders
 
 Tables = Mapping[int | str, DataFrame]
 
@@ -180,36 +183,76 @@ def interpolated_model(
 def save_model(model: Mapping, folder: str | None = None, name: str | None = None) -> dict:
     """Write every table of a model, so that predictions read the finished tables.
 
-    With a ``name`` the tables lie under ``folder/name`` and ``load_model`` finds them again, from
-    any application; frequency tables of ``train_counts`` can be kept the same way.
+    A model that predicts also gets its ``lookup`` table, bucketed by context, which predictions join
+    without moving it. With a ``name`` the model lies under ``folder/name`` and ``load_model`` finds it
+    again, from any application; frequency tables of ``train_counts`` can be kept the same way.
+
+    Every save writes a version of its own and then one row to the list of versions, which makes it
+    the current one. A reader sees a whole model whenever it looks, and a save that fails changes
+    nothing; ``drop_versions`` clears what is no longer read.
     """
+    spark = next(iter(model.values())).sparkSession
     if name is None:
-        return {key: materialize(table, f"model_{key}", folder) for key, table in model.items()}
+        out = {key: materialize(table, f"model_{key}", folder) for key, table in model.items()}
+        if has_lookup(out):
+            out["lookup"] = write_lookup(out, f"{folder or shared_folder(spark)}/lookup-{uuid.uuid4().hex}")[0]
+        return out
     if folder is None:
         raise ValueError("a named model needs a folder")
-    spark = next(iter(model.values())).sparkSession
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    path = f"{folder}/{name}/version={version}"
+    out = {}
     for key, table in model.items():
-        table.write.mode("overwrite").parquet(f"{folder}/{name}/{_table_name(key)}")
-    # The list of tables comes last: a model without it is not finished.
-    names = spark.createDataFrame([(_table_name(key),) for key in model], "name string")
-    names.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{name}/tables")
+        if key != "lookup":
+            table.write.parquet(f"{path}/{_table_name(key)}")
+            out[key] = spark.read.schema(table.schema).parquet(f"{path}/{_table_name(key)}")
+    buckets = write_lookup(out, f"{path}/lookup")[1] if has_lookup(out) else 0
+    listed = spark.createDataFrame([(version, [_table_name(key) for key in out], buckets)], VERSIONS)
+    listed.coalesce(1).write.mode("append").parquet(f"{folder}/{name}/versions")
     return load_model(spark, folder, name)
 
 
+VERSIONS = "version string, tables array<string>, buckets int"
+
+
 def _table_name(key: int | str) -> str:
     return f"order={key}" if isinstance(key, int) else f"table={key}"
 
 
+def _versions(spark: SparkSession, folder: str, name: str) -> list:
+    """The finished versions of a named model, the newest first."""
+    listed = spark.read.schema(VERSIONS).parquet(f"{folder}/{name}/versions")
+    return sorted(listed.collect(), key=lambda row: row["version"], reverse=True)
+
+
 def load_model(spark: SparkSession, folder: str, name: str) -> dict[int | str, DataFrame]:
-    """The tables that ``save_model`` wrote under a name."""
+    """The tables of the newest version that ``save_model`` finished under a name."""
+    row = _versions(spark, folder, name)[0]
+    path = f"{folder}/{name}/version={row['version']}"
     out: dict[int | str, DataFrame] = {}
-    for row in spark.read.parquet(f"{folder}/{name}/tables").collect():
-        kind, key = row["name"].split("=", 1)
-        table = spark.read.parquet(f"{folder}/{name}/{row['name']}")
-        out[int(key) if kind == "order" else key] = table
+    for table in row["tables"]:
+        kind, key = table.split("=", 1)
+        out[int(key) if kind == "order" else key] = spark.read.parquet(f"{path}/{table}")
+    if row["buckets"]:
+        out["lookup"] = read_lookup(spark, f"{path}/lookup", row["buckets"])
     return out
 
 
+def drop_versions(spark: SparkSession, folder: str, name: str, keep: int = 1) -> int:
+    """Remove all versions of a named model but the ``keep`` newest finished ones; how many went.
+
+    Versions that never were finished go too, so no save may be under way.
+    """
+    kept = {row["version"] for row in _versions(spark, folder, name)[: max(keep, 1)]}
+    gone = 0
+    for path in subfolders(spark, f"{folder}/{name}"):
+        version = path.rsplit("/", 1)[-1].removeprefix("version=")
+        if path.rsplit("/", 1)[-1].startswith("version=") and version not in kept:
+            remove(spark, path)
+            gone += 1
+    return gone
+
+
 def ranked_model(
     df: DataFrame, n: int, k: int, prob: str, stop_words: Sequence[str] = STOP_WORDS
 ) -> DataFrame:

@@ -17,11 +17,15 @@ MAX_PARTITIONS_SETTING = "spark.wordloom.maxShufflePartitions"
 UNKNOWN_BYTES = 1 << 60
 
 _local_folders: dict[str, str] = {}
+# Folders of the runs that are open, the innermost last, by application.
+_scratch: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
     app = spark.sparkContext.applicationId
+    if _scratch.get(app):
+        return _scratch[app][-1]
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return f"{named.rstrip('/')}/wordloom/{app}"
@@ -32,6 +36,35 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, in whatever store it lies; one that is not there is no error."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """The folders directly under ``path``."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = there.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [x.getPath().toString() for x in store.listStatus(there) if x.isDirectory()]
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Hand-off tables that are made inside go when it ends, whether or not it fails.
+
+    What is made inside must be written, or not needed, by then: a lazy result still reads them.
+    """
+    app = spark.sparkContext.applicationId
+    folder = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+    _scratch.setdefault(app, []).append(folder)
+    try:
+        yield folder
+    finally:
+        _scratch[app].remove(folder)
+        remove(spark, folder)
+
+
 def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` as a table and read it back.
 

@@ -28,7 +28,7 @@ LEAST_DOCUMENTS = 3
 TERM_RANKS = 200
 SCALE = 10**9
 # Bytes of text split at once, rows of partial counts held by a task, terms of a shard, sources of a block.
-PIECE_BYTES, HELD, SHARD_TERMS, BLOCK = 8 << 20, 1_500_000, 2048, 256
+PIECE_BYTES, HELD, SHARD_TERMS, BLOCK = 4 << 20, 500_000, 2048, 256
 
 _COUNTS = pa.schema([("code", pa.int64()), ("term", pa.large_string()), ("n", pa.int64()), ("docs", pa.int64())])
 _PARTS = pa.schema([

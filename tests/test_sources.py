@@ -42,6 +42,27 @@ def test_line_ids_do_not_depend_on_splits(spark, folder):
     assert all(str(number) == told for number, told in lines)
 
 
+@pytest.mark.parametrize("per_group", [400_000, 2])
+def test_corpus_text_is_not_moved(spark, folder, monkeypatch, per_group):
+    """Whatever Spark would broadcast by itself, and however many groups the files make."""
+    monkeypatch.setattr(files, "BLOCKS_PER_GROUP", per_group)
+    for name in "abcde":
+        (folder / "corpus" / f"{name}.txt").write_text("".join(f"{name} {i}\n" for i in range(50)))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        corpus = files.read_corpus(spark, f"{folder}/corpus/*.txt", str(folder / f"w{per_group}"))
+        plan = corpus._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "Exchange hash" not in plan and "BroadcastHashJoin" in plan
+        assert ("Union" in plan) == (per_group == 2)
+        got = sorted((r.doc_id // files.LINES_PER_FILE, r.doc_id % files.LINES_PER_FILE, r.text) for r in corpus.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Sorted paths: a, b, blogs, c, d, e, news.
+    assert [t for f, i, t in got if f == 0] == [f"a {i}" for i in range(50)]
+    assert [t for f, i, t in got if f == 5] == [f"e {i}" for i in range(50)] and len(got) == 254
+
+
 def test_word_list(spark, folder):
     path = folder / "block.csv"
     path.write_text('about\nthis\nlist\n\nid,term\n1,foo\n2,"bar, baz"\n\n3,qux\n')

@@ -143,3 +143,35 @@ def test_word_lists(spark):
     listed = spark.createDataFrame([("word",)], "word string")
     assert words.drop_stop_words(df, "word", listed).count() == 7
     assert words.drop_digit_led(df, "word").count() == 7
+
+
+@pytest.mark.parametrize("listed", [0, 3, 3000])
+def test_listed_words_go_and_other_records_stay_where_they_are(spark, listed, tmp_path):
+    rng = random.Random(2)
+    vocabulary = [f"w{i}" for i in range(500)]
+    rows = [(i, rng.choices(vocabulary, k=rng.randrange(12)), None) for i in range(300)]
+    # Equal rows, null tokens, columns with the names used inside.
+    rows += [rows[0], rows[0], (None, None, "x"), (None, [], None), (1, ["w0", "zz", "w0"], None)]
+    df = spark.createDataFrame(rows, "_row int, tokens array<string>, _suspects string")
+    block = [f"w{i}" for i in range(2)] + ["zz", None] if listed == 3 else [f"w{7 * i}" for i in range(listed)]
+    words_ = spark.createDataFrame([(w,) for w in block] + [("w0",)] * bool(listed), "word string")
+    got = text.remove_listed_features(df, words_, str(tmp_path))
+    assert got.columns == df.columns
+    gone = set(block)
+    want = [(i, None if t is None else [w for w in t if w not in gone], s) for i, t, s in rows]
+    key = lambda r: str(tuple(r))
+    assert sorted(map(key, got.collect())) == sorted(map(key, want))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    first = plan[plan.index("Union") :]
+    first = first[: first.index("FileScan")]
+    assert "Exchange" not in first and "Join" not in first
+
+
+def test_the_filter_lets_few_words_through(spark):
+    listed = spark.range(20_000).selectExpr("concat('w', id) as word")
+    bits, slots = text.word_filter(listed)
+    others = spark.range(20_000).selectExpr("if(id < 10000, concat('w', id), concat('x', id)) as word")
+    told = others.withColumn("bits", bits).select("word", text.may_be_listed(F.col("word"), F.col("bits"), slots).alias("may"))
+    got = told.groupBy(F.col("word").startswith("w").alias("own")).agg(F.count_if("may").alias("n"))
+    n = {r.own: r.n for r in got.collect()}
+    assert n[True] == 10_000 and n[False] < 200

@@ -67,26 +67,73 @@ def remove_features(tokens: Column, words: Sequence[str]) -> Column:
     return F.filter(tokens, lambda word: ~word.isin(list(words)))
 
 
+# Bits of the filter that tells which words may be listed, per listed word and at most; and its hashes.
+FILTER_BITS_PER_WORD, FILTER_BITS, FILTER_HASHES = 16, 1 << 26, 4
+
+
+def _filter_bits(word: Column, slots: int) -> list[Column]:
+    """Places of a word in the filter, as (slot of 64 bits, bit) pairs."""
+    out = []
+    for seed in range(FILTER_HASHES):
+        value = F.xxhash64(F.lit(seed), word)
+        bit = F.pmod(value, F.lit(64)).cast("int")
+        out.append(F.struct(F.pmod(F.shiftright(value, 6), F.lit(slots)).cast("int").alias("slot"), bit.alias("bit")))
+    return out
+
+
+def word_filter(listed: DataFrame) -> tuple[Column, int]:
+    """A Bloom filter of ``listed.word`` as one array of 64-bit slots, and its number of slots.
+
+    Its size follows the number of words up to FILTER_BITS (8 MB); beyond that it lets more words
+    through, which costs time and no result.
+    """
+    slots = 1
+    while slots * 64 < min(listed.count() * FILTER_BITS_PER_WORD, FILTER_BITS):
+        slots *= 2
+    each = listed.select(F.explode(F.array(*_filter_bits(F.col("word"), slots))).alias("x"))
+    filled = each.groupBy("x.slot").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("x.bit"))).alias("bits"))
+    every = listed.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot"))
+    rows = every.join(filled, "slot", "left").select("slot", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits"))
+    ordered = F.sort_array(F.collect_list(F.struct("slot", "bits")))
+    return rows.agg(ordered.alias("rows")).select(F.col("rows")["bits"].alias("bits")).scalar(), slots
+
+
+def may_be_listed(word: Column, bits: Column, slots: int) -> Column:
+    out = F.lit(True)
+    for x in _filter_bits(word, slots):
+        out = out & (F.getbit(F.get(bits, x["slot"]), x["bit"]) == 1)
+    return out
+
+
 def remove_listed_features(docs: DataFrame, words: DataFrame, folder: str | None = None) -> DataFrame:
     """``remove_features`` on ``docs.tokens`` for a ``words(word)`` table, whatever its length.
 
-    Records are written with a row id, so that records with equal columns, or none but the tokens,
-    stay apart. Different words of a record are looked up in the list, which is written too, so
-    that Spark knows its size; what comes back to a record are the listed words it holds, and its
-    tokens are filtered in place. Null tokens stay null.
+    Records are written once, with a row id, so that records with equal columns, or none but the
+    tokens, stay apart, and with the tokens that a Bloom filter of the list lets through. A record
+    without any is done: it is neither joined nor moved. The suspected words of the others are looked
+    up in the list, which is written too, so that Spark knows its size, and their tokens are filtered
+    in place. Null tokens stay null.
     """
-    row = "_row"
-    while row in docs.columns:
-        row += "_"
+    row, suspects, held_bits = (
+        next(name for name in (base + "_" * i for i in range(99)) if name not in docs.columns)
+        for base in ("_row", "_suspects", "_bits")
+    )
     listed = words.select("word").where(F.col("word").isNotNull()).distinct()
     listed = materialize(listed, "block_list", folder)
-    kept = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "records", folder)
-    held = kept.select(row, F.explode(F.array_distinct("tokens")).alias("word"))
+    bits, slots = word_filter(listed)
+    suspected = F.filter(F.array_distinct("tokens"), lambda word: may_be_listed(word, F.col(held_bits), slots))
+    kept = docs.withColumn(held_bits, bits).withColumn(suspects, suspected).drop(held_bits)
+    kept = kept.withColumn(row, F.monotonically_increasing_id())
+    kept = materialize(kept, "records", folder)
+    clean = kept.where(F.coalesce(F.size(suspects), F.lit(0)) <= 0).select(*docs.columns)
+    rest = kept.where(F.size(suspects) > 0)
+    held = rest.select(row, F.explode(suspects).alias("word"))
     hits = held.join(listed, "word").groupBy(row).agg(F.collect_list("word").alias("_listed"))
     left = F.filter("tokens", lambda word: ~F.array_contains(hits["_listed"], word))
-    tokens = F.when(hits["_listed"].isNull(), kept["tokens"]).otherwise(left)
-    joined = kept.join(hits, row, "left")
-    return joined.select(*[tokens.alias(c) if c == "tokens" else kept[c] for c in docs.columns])
+    tokens = F.when(hits["_listed"].isNull(), rest["tokens"]).otherwise(left)
+    joined = rest.join(hits, row, "left")
+    joined = joined.select(*[tokens.alias(c) if c == "tokens" else rest[c] for c in docs.columns])
+    return clean.unionByName(joined)
 
 
 def ngrams(tokens: Column, n: int) -> Column:

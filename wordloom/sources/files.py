@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from wordloom.workspace import materialize
+from wordloom.workspace import estimated_bytes, materialize, shared_folder
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -21,6 +22,8 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 # Lines that a file may have before its ids run into those of the next one.
 LINES_PER_FILE = 1 << 40
+# Blocks whose offsets are broadcast at once: a path and two numbers each, some 60 MB.
+BLOCKS_PER_GROUP = 400_000
 
 
 def read_corpus(spark: SparkSession, glob: str, folder: str | None = None) -> DataFrame:
@@ -30,26 +33,55 @@ def read_corpus(spark: SparkSession, glob: str, folder: str | None = None) -> Da
     it depends neither on how Spark splits the files nor on the cluster. The lines are written once
     with the id of their row; rows of one block are consecutive, so a block's first row and the
     number of lines in the blocks before it give every line's number. Only these few numbers per
-    block are joined; the text is not shuffled.
+    block travel: they are broadcast, for BLOCKS_PER_GROUP blocks at a time, and the text is never
+    shuffled. Files are dealt to as many groups as that takes, and a group's lines are read alone.
     """
-    lines = spark.read.text(glob).select(
+    given = spark.read.text(glob)
+    # Files are dealt to groups, each with few enough blocks for its offsets to be broadcast.
+    groups = -(-block_estimate(given) // BLOCKS_PER_GROUP)
+    lines = given.select(
+        F.pmod(F.xxhash64("_metadata.file_path"), F.lit(groups)).cast("int").alias("group"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.regexp_replace("_metadata.file_name", r"\.[^.]*$", "").alias("source"),
         F.translate("value", "\x00", "").alias("text"),
         F.monotonically_increasing_id().alias("row"),
     )
-    lines = materialize(lines, "lines", folder)
-    blocks = lines.groupBy("path", "block").agg(F.min("row").alias("first"), F.count("*").alias("n"))
+    path = f"{folder or shared_folder(spark)}/lines-{uuid.uuid4().hex}"
+    lines.write.partitionBy("group").parquet(path)
+    lines = spark.read.schema(lines.schema).parquet(path)
+    blocks = lines.groupBy("group", "path", "block").agg(F.min("row").alias("first"), F.count("*").alias("n"))
     earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("path", "block", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
+    blocks = blocks.select("group", "path", "block", "first", before)
     # One row per file; the driver lists as many when it plans the scan.
     files = blocks.select("path").distinct()
     files = files.select("path", (F.row_number().over(Window.orderBy("path")) - 1).cast("bigint").alias("file"))
     places = materialize(blocks.join(files, "path"), "blocks", folder)
-    line = F.col("before") + F.col("row") - F.col("first")
-    numbered = lines.join(places, ["path", "block"])
-    return numbered.select((F.col("file") * LINES_PER_FILE + line).alias("doc_id"), "source", "text")
+    # Of a row, only the shift from its row number to its id is needed.
+    shift = F.col("file") * LINES_PER_FILE + F.col("before") - F.col("first")
+    # One file may have more blocks than a group should; its offsets are joined as Spark sees fit.
+    sizes = {x["group"]: x["count"] for x in places.groupBy("group").count().collect()}
+    out = None
+    for group in range(groups):
+        own = places.where(F.col("group") == group).select("path", "block", shift.alias("shift"))
+        own = F.broadcast(own) if sizes.get(group, 0) <= 2 * BLOCKS_PER_GROUP else own
+        numbered = lines.where(F.col("group") == group).join(own, ["path", "block"])
+        numbered = numbered.select((F.col("shift") + F.col("row")).alias("doc_id"), "source", "text")
+        out = numbered if out is None else out.unionByName(numbered)
+    return out
+
+
+def block_estimate(df: DataFrame) -> int:
+    """At most so many blocks the files of a scan are cut into: one per file, and one per split."""
+    spark = df.sparkSession
+    # Splits are as long as the setting, or shorter where the files do not fill the cores.
+    longest = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    least = spark._jsparkSession.sessionState().conf().filesOpenCostInBytes()
+    cores = spark.sparkContext.defaultParallelism
+    nbytes, n_files = estimated_bytes(df), len(df.inputFiles())
+    split = min(longest, max(least, -(-(nbytes + n_files * least) // cores)))
+    return max(1, n_files + -(-nbytes // max(split, 1)))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -333,6 +333,10 @@ UNSAID = {
 }
 
 
+# Physical lines of the documents; empty ones count.
+LINES = r"SELECT unnest(string_split_regex(text, '\r\n|\r|\n')) AS line FROM documents"
+
+
 def oracle_sql() -> dict[str, str]:
     spoken = "doc_id, CAST(len({0}) AS BIGINT) AS n_tokens, array_to_string({0}, ' ') AS words"
     top = "SELECT * FROM ({})"
@@ -509,6 +513,17 @@ def oracle_sql() -> dict[str, str]:
         "trim_context_trigram_mle": _with(
             ("p3",), top.format(_top(3, 5, "p3", "tri_prob", where=trim_context))
         ),
+        "read_lines": f"SELECT line, count(*) AS n FROM ({LINES}) GROUP BY line",
+        "read_corpus": f"SELECT line, count(*) AS n, count(*) AS n_ids FROM ({LINES}) GROUP BY line",
+        "read_ngrams": _with(
+            ("c2",),
+            "SELECT w1, w2, bi_freq, 'csv' AS fmt FROM c2 UNION ALL SELECT w1, w2, bi_freq, 'parquet' FROM c2",
+        ),
+        "read_word_list": f"SELECT DISTINCT unnest({TRAIN_TOKENS}) AS word, 1::BIGINT AS n FROM conversations",
+        "load_model": _select("w1, word, prob, rank", "top2"),
+        "context_key": _with(
+            ("c3",), "SELECT w1, w2, count(*) AS n_types, sum(tri_freq)::BIGINT AS freq FROM c3 GROUP BY w1, w2"
+        ),
         "predict_backoff_trigram": _backoff(3),
         "predict_backoff_tetragram": _backoff(4),
         "predict_backoff_nth": _backoff(4, nth=True),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wordloom.functions import text, words
 from wordloom.operators import counts, kneser_ney, mle, ranking, sampling
 from wordloom.plans import models, predict
+from wordloom.sources import files
 from wordloom.sources.files import read_documents
-from wordloom.workspace import spread
+from wordloom.workspace import shared_folder, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,6 +133,71 @@ def counted(n: int) -> Query:
     return lambda spark, sf_dir: counts.ngram_counts(models.tokenized(documents(spark, sf_dir)), n)
 
 
+# --- sources and sinks: derived tables are written and read back ---------------------------------
+
+
+def work_path(spark, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written_lines(spark, sf_dir) -> str:
+    """The physical lines of all documents as text files."""
+    lines = documents(spark, sf_dir).select(F.explode(F.split("text", r"\r\n|\r|\n")).alias("text"))
+    path = work_path(spark, "written_lines")
+    files.write_lines(lines, path)
+    return path
+
+
+def read_lines(spark, sf_dir):
+    lines = files.read_lines(spark, written_lines(spark, sf_dir))
+    return lines.groupBy(F.col("text").alias("line")).agg(F.count("*").alias("n"))
+
+
+def read_corpus(spark, sf_dir):
+    """Every line with the number of its records and of their ids."""
+    corpus = files.read_corpus(spark, f"{written_lines(spark, sf_dir)}/*.txt")
+    ids = corpus.groupBy("doc_id", F.col("text").alias("line")).agg(F.count("*").alias("n"))
+    return ids.groupBy("line").agg(F.sum("n").alias("n"), F.count("*").alias("n_ids"))
+
+
+def read_ngrams(spark, sf_dir):
+    """The bigram counts written as CSV and as Parquet, both read with a given schema."""
+    parts = []
+    for fmt in ("csv", "parquet"):
+        path = work_path(spark, f"bigrams_{fmt}")
+        files.write_table(trained(spark, sf_dir)[2], path, fmt)
+        table = files.read_ngrams(spark, path, "w1 string, w2 string, bi_freq bigint", fmt=fmt)
+        parts.append(table.withColumn("fmt", F.lit(fmt)))
+    return parts[0].unionByName(parts[1])
+
+
+def read_word_list(spark, sf_dir):
+    """The words of all turns as the second column of a CSV file behind a preamble, and read from it."""
+    said = F.concat(F.lit('1,"'), "word", F.lit('"')).alias("text")
+    head = ("a list", "of words", "", "that are said", "id,word")
+    rows = spoken_words(spark, sf_dir).select(F.lit(len(head)).alias("at"), said)
+    rows = rows.unionByName(spark.createDataFrame(list(enumerate(head)), "at int, text string"))
+    path = work_path(spark, "word_list")
+    # A word list is one file: its first lines are told by their place.
+    files.write_lines(rows.repartition(1).sortWithinPartitions("at", "text"), path)
+    listed = files.read_word_list(spark, path)
+    return listed.groupBy("word").agg(F.count("*").alias("n"))
+
+
+def load_model(spark, sf_dir):
+    """The bigram table of a model saved under a name."""
+    folder = work_path(spark, "models")
+    models.save_model(trained_model(spark, sf_dir, "mle"), folder, "mle")
+    return models.load_model(spark, folder, "mle")[2]
+
+
+def context_key(spark, sf_dir):
+    """Trigrams grouped by the one column that stands for their context."""
+    key = text.context_key("w1", "w2").alias("context")
+    grouped = trained(spark, sf_dir)[3].groupBy(key).agg(F.count("*").alias("n_types"), F.sum("tri_freq").alias("freq"))
+    return grouped.select("context.w1", "context.w2", "n_types", "freq")
+
+
 # --- probabilities --------------------------------------------------------------------------
 
 
@@ -349,6 +416,12 @@ QUERIES: dict[str, Query] = {
     "decode_words": decode_words,
     "trim_context_trigram_mle": mle_top(3, trim_context=True),
     "trim_first_tetragram_mle": mle_top(4, trim_on="w1"),
+    "read_lines": read_lines,
+    "read_corpus": read_corpus,
+    "read_ngrams": read_ngrams,
+    "read_word_list": read_word_list,
+    "load_model": load_model,
+    "context_key": context_key,
     "predict_backoff_trigram": predict_backoff(3),
     "predict_backoff_tetragram": predict_backoff(4),
     "predict_backoff_nth": predict_backoff(4, "nth"),

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wordloom.operators.counts import total
+from wordloom.operators.counts import total, type_counts
 from wordloom.workspace import TARGET_PARTITION_BYTES, UNKNOWN_BYTES, estimated_bytes, max_partitions
 
 # Below this a third of the rows still fits one task, and the join is left to Spark as it is.
@@ -64,3 +64,53 @@ def context_join(
     repeated = F.explode(F.sequence(F.lit(0), n_salts - 1))
     right = lower.join(hot, keys, "left").withColumn("salt", repeated).drop("n_salts")
     return left.join(right, [*keys, "salt"]).drop("salt")
+
+
+def _shares(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """``keys`` with their share of the rows (``name``) where it is hot; counted in the tasks first."""
+    known = df.select(*keys)
+    for key in keys:
+        known = known.where(F.col(key).isNotNull())
+    counts = type_counts(known, list(keys), name)
+    share = F.col(name).cast("double") / total(counts, name).cast("double")
+    return counts.select(*keys, share.alias(name)).where(F.col(name) >= F.lit(HOT_SHARE))
+
+
+def skew_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", partitions: int | None = None
+) -> DataFrame:
+    """Join of any two tables, where one key may hold much of either or of both.
+
+    Hot keys are measured on both sides: at most 1 / HOT_SHARE of each, whatever the data. The rows
+    of a hot key are dealt to a grid of tasks, the left ones to its rows and the right ones to its
+    columns, in proportion to the numbers on either side; each left row meets each right row in one
+    cell. A ``left`` join splits the left rows only, as every one of them has to see all of the right.
+
+    Cells are told by a hash of the whole row, so that a repeated task deals alike; rows that are
+    equal in all columns stay together. Null keys match nothing. All other columns must differ in
+    name, as in any join by key columns. Empty tables join as usual.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("how is 'inner' or 'left'")
+    keys = list(keys)
+    parts = partitions or _partitions(left, max(estimated_bytes(left), estimated_bytes(right)))
+    hot = _shares(left, keys, "_l").join(_shares(right, keys, "_r"), keys, "full")
+    of_left, of_right = F.coalesce("_l", F.lit(HOT_SHARE)), F.coalesce("_r", F.lit(HOT_SHARE))
+    cells = F.ceil(F.greatest(of_left, of_right) * F.lit(2.0 * parts))
+    if how == "left":
+        rows, columns = F.ceil(of_left * F.lit(2.0 * parts)), F.lit(1)
+    else:
+        rows = F.least(F.greatest(F.round(F.sqrt(cells * of_left / of_right)), F.lit(1.0)), cells)
+        columns = F.ceil(cells / rows)
+    hot = hot.select(*keys, rows.cast("int").alias("_rows"), columns.cast("int").alias("_columns"))
+    hot = F.broadcast(hot.where((F.col("_rows") > 1) | (F.col("_columns") > 1)))
+
+    def dealt(df: DataFrame, own: str, other: str, place: str, copies: str) -> DataFrame:
+        salt = F.pmod(F.xxhash64(*df.columns), F.coalesce(own, F.lit(1))).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1))
+        salted = df.join(hot, keys, "left").withColumn(place, salt).withColumn(copies, every)
+        return salted.drop("_rows", "_columns")
+
+    a = dealt(left, "_rows", "_columns", "_i", "_j")
+    b = dealt(right, "_columns", "_rows", "_j", "_i")
+    return a.join(b, [*keys, "_i", "_j"], how).drop("_i", "_j")

@@ -32,50 +32,80 @@ BROADCAST_WINDOWS = 500_000
 NUMBER, NAME, UNIT = "", "", ""
 # A capitalised word in the middle of a sentence.
 _NAMED = r"(?<=[\p{L}\p{N},;] )\p{Lu}\p{Ll}[\p{L}'-]*"
-# A capitalised word anywhere.
-_CAPITAL = r"(?<![\p{L}\p{N}'-])\p{Lu}\p{Ll}[\p{L}'-]*"
 _NUMBERED = r"[0-9][0-9.,:/]*"
 # Units that are told behind a number.
 UNITS = (
     "mm cm m km in inch inches ft feet yd yards mi mile miles mg g kg t lb lbs oz ml l s sec min h hr hours "
     "minutes seconds days weeks months years usd eur dollars euros cents percent w kw v a hz khz mhz c f"
 ).split()
-_MEASURED = rf"{NUMBER}( ?)(?:{'|'.join(sorted(UNITS, key=len, reverse=True))})\b"
 _STRIPPED = rf"[^\p{{L}}\p{{N}}{NUMBER}-{UNIT}\s]+"
 
 
-def template_words(text: Column, names: str | None = _NAMED) -> Column:
-    """Words of the template, one for each white-space separated word with a letter or digit."""
-    out = F.lower(text if names is None else F.regexp_replace(text, names, NAME))
+# Marks around a name inside a sentence, around any other capitalised word, and behind either.
+_INNER, _FIRST, _BEHIND = "\ue010", "\ue011", "\ue012"
+_UNMARKED_CAPITAL = rf"(?<![\p{{L}}\p{{N}}'{_INNER}-])\p{{Lu}}\p{{Ll}}[\p{{L}}'-]*"
+_MARKED_MEASURE = rf"{NUMBER}( ?)([{_INNER}{_FIRST}]?)(?:{'|'.join(sorted(UNITS, key=len, reverse=True))})\b"
+_STRIPPED_BUT_MARKS = rf"[^\p{{L}}\p{{N}}{NUMBER}-{UNIT}{_INNER}-{_BEHIND}\s]+"
+
+
+def marked(text: Column) -> Column:
+    """The text with numbers, units and punctuation settled and capitalised words marked, in one go.
+
+    Marks of the text itself go first.
+    """
+    out = F.translate(text, _INNER + _FIRST + _BEHIND, "")
+    out = F.regexp_replace(out, _NAMED, f"{_INNER}$0{_BEHIND}")
+    out = F.lower(F.regexp_replace(out, _UNMARKED_CAPITAL, f"{_FIRST}$0{_BEHIND}"))
     out = F.regexp_replace(out, _NUMBERED, NUMBER)
-    out = F.regexp_replace(out, _MEASURED, f"{NUMBER}$1{UNIT}")
-    return F.array_remove(F.split(F.regexp_replace(out, _STRIPPED, ""), r"\s+"), "")
+    out = F.regexp_replace(out, _MARKED_MEASURE, f"{NUMBER}$1$2{UNIT}")
+    return F.regexp_replace(out, _STRIPPED_BUT_MARKS, "")
 
 
-def templates(text: Column) -> list[Column]:
-    """The three templates: ``words, capital, plain``. They agree in their places."""
+def _split(text: Column) -> Column:
+    """Words with a letter or digit."""
+    return F.array_remove(F.split(text, r"\s+"), "")
+
+
+def templates(made: Column) -> list[Column]:
+    """The three templates of a ``marked`` text: ``words, capital, plain``. They agree in their places."""
+    inner = F.regexp_replace(made, f"{_INNER}[^{_BEHIND}]*{_BEHIND}", NAME)
+    every = F.regexp_replace(made, f"[{_INNER}{_FIRST}][^{_BEHIND}]*{_BEHIND}", NAME)
     return [
-        template_words(text).alias("words"),
-        template_words(text, _CAPITAL).alias("capital"),
-        template_words(text, None).alias("plain"),
+        _split(F.translate(inner, _FIRST + _BEHIND, "")).alias("words"),
+        _split(every).alias("capital"),
+        _split(F.translate(made, _INNER + _FIRST + _BEHIND, "")).alias("plain"),
     ]
 
 
+def with_templates(rows: DataFrame, text: Column, *columns: str) -> DataFrame:
+    """The columns and the three templates of ``text``, marked once."""
+    return rows.select(*columns, marked(text).alias("marked")).select(*columns, *templates(F.col("marked")))
+
+
 def plain_words(text: Column) -> Column:
     """The words themselves, place by place those of the template."""
-    return F.array_remove(F.split(F.regexp_replace(F.lower(text), _STRIPPED, ""), r"\s+"), "")
+    return _split(F.regexp_replace(F.lower(text), _STRIPPED, ""))
 
 
-def window_hashes() -> Column:
-    """For each window the different hashes that the templates give it."""
-    last = F.size("words") - WINDOW
-    hashes = F.transform(
-        F.sequence(F.lit(0), last),
-        lambda i: F.array_distinct(
-            F.array(*[F.xxhash64(*[F.get(w, i + k) for k in range(WINDOW)]) for w in ("words", "capital", "plain")])
-        ),
-    )
-    return F.when(last >= 0, hashes).otherwise(F.array().cast("array<array<bigint>>"))
+def window_hash(words: str, at: Column) -> Column:
+    return F.xxhash64(*[F.get(words, at + k) for k in range(WINDOW)])
+
+
+def document_windows(tokens: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, doc_at, window``: each window by the different hashes its templates give it.
+
+    Windows are rows before they are hashed, so that hashing is compiled; templates that agree in a
+    window, as most do, give one row. The outer form of the explode keeps the optimizer from adding
+    a filter on the size below the projections, in which every window makes the words of its text anew.
+    """
+    at = F.col("doc_at")
+    each = tokens.select("doc_id", "text_hash", "words", "capital", "plain", F.posexplode_outer("words").alias("doc_at", "word"))
+    each = each.where(at + WINDOW <= F.size("words"))
+    each = each.select("doc_id", "text_hash", "doc_at", *[window_hash(w, at).alias(f"of_{w}") for w in ("words", "capital", "plain")])
+    one = (F.col("of_words") == F.col("of_capital")) & (F.col("of_words") == F.col("of_plain"))
+    several = F.array_distinct(F.array("of_words", "of_capital", "of_plain"))
+    hashes = F.when(one, F.array("of_words")).otherwise(several)
+    return each.select("doc_id", "text_hash", "doc_at", F.explode_outer(hashes).alias("window"))
 
 
 def has_slot(word: Column) -> Column:
@@ -84,16 +114,15 @@ def has_slot(word: Column) -> Column:
 
 def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``item_id, n_words, item_at, window, slots``: every window of every item."""
-    items = benchmark.where(F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("item_id"), *templates(F.col(text_col))
-    )
+    given = benchmark.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text"))
+    items = with_templates(given, F.col("text"), "item_id")
     n_words = F.size("words").alias("n_words")
     made = []
     for name in ("words", "capital", "plain"):
         places = F.when(n_words >= WINDOW, F.sequence(F.lit(0), n_words - WINDOW))
         each = items.select("item_id", n_words, F.col(name).alias("words"), F.explode_outer(places).alias("item_at"))
         inside = F.slice("words", F.col("item_at") + 1, F.lit(WINDOW))
-        window = F.xxhash64(*[F.get("words", F.col("item_at") + k) for k in range(WINDOW)]).alias("window")
+        window = window_hash("words", F.col("item_at")).alias("window")
         made.append(
             each.where("item_at is not null").select(
                 "item_id", "n_words", "item_at", window, F.exists(inside, has_slot).alias("slots")
@@ -140,12 +169,7 @@ def leaks(
     windows = materialize(benchmark_windows(benchmark, item_id_col, item_text_col), "benchmark_windows")
     small = windows.count() <= BROADCAST_WINDOWS
 
-    tokens = keyed.select("doc_id", "text_hash", *templates(F.col("text")))
-    hashed = tokens.select("doc_id", "text_hash", window_hashes().alias("windows"))
-    # The outer form of the explode: for the inner one the optimizer would add a filter on the size
-    # below the projections, in which every window makes the words of its text anew.
-    each = hashed.select("doc_id", "text_hash", F.posexplode_outer("windows").alias("doc_at", "hashes"))
-    each = each.select("doc_id", "text_hash", "doc_at", F.explode_outer("hashes").alias("window"))
+    each = document_windows(with_templates(keyed, F.col("text"), "doc_id", "text_hash"))
     met = each.join(F.broadcast(windows) if small else windows, "window")
     met = materialize(met.drop("window"), "matches")
 
@@ -192,15 +216,13 @@ def _with_slots(
 ) -> DataFrame:
     """Decide pairs with placeholders by the values that these hold on each diagonal."""
     item_texts = benchmark.where(F.col(item_text_col).isNotNull())
-    items = item_texts.select(
-        F.col(item_id_col).alias("item_id"),
-        template_words(F.col(item_text_col)).alias("inner"),
-        template_words(F.col(item_text_col), _CAPITAL).alias("template"),
-        plain_words(F.col(item_text_col)).alias("item_words"),
-    )
+    items = item_texts.select(F.col(item_id_col).alias("item_id"), F.col(item_text_col).alias("text"))
+    items = items.select("item_id", marked(F.col("text")).alias("made"), plain_words(F.col("text")).alias("item_words"))
+    inner, template, _ = templates(F.col("made"))
+    items = items.select("item_id", inner.alias("inner"), template.alias("template"), "item_words")
     held = keyed.select(
         F.struct("doc_id", "text_hash").alias("key"),
-        template_words(F.col("text")).alias("doc_inner"),
+        templates(marked(F.col("text")))[0].alias("doc_inner"),
         plain_words(F.col("text")).alias("doc_words"),
     )
     needed = lines.select(F.struct("doc_id", "text_hash").alias("key")).distinct()

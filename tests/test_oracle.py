@@ -47,6 +47,10 @@ def test_query(spark, db, name):
 @pytest.mark.parametrize("name", ["top5_bigram_mle", "top5_bigram_kn", "top3_trigram_kn"])
 def test_top_k_cuts_before_the_shuffle(spark, name):
     plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    if "Exchange hashpartitioning" not in plan:
+        # Counted tables lie in buckets of their context: nothing is shuffled, so nothing has to be cut before.
+        assert "WindowGroupLimit" in plan and "Bucketed: true" in plan
+        return
     final, partial = plan.index(", Final"), plan.index(", Partial")
     assert final < plan.index("Exchange hashpartitioning", final) < partial
 

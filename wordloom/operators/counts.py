@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wordloom.functions.words import is_digit_led
-from wordloom.workspace import estimated_bytes, materialize, shuffle_partitions
+from wordloom.workspace import estimated_bytes, materialize, materialize_bucketed, shuffle_partitions
 
 FREQ = {1: "uni_freq", 2: "bi_freq", 3: "tri_freq", 4: "tetra_freq"}
 
@@ -57,17 +59,28 @@ def count_tables(
 
     The same sums give the number of different dictionary words that follow an n-gram: besides
     the plain table under n, orders below ``max_n`` come as ``contexts<n>`` with ``n_next``.
+
+    The tables are bucketed alike: the plain one by its first n-1 words, its context, and
+    ``contexts<n>`` by all of its n words, over the same number of buckets. So the sums over an order,
+    its joins with the contexts and its ranks per context find their rows in place. A key has no more
+    rows than the vocabulary has words.
     """
     spark = docs.sparkSession
     tables: dict[int | str, DataFrame] = {}
     with shuffle_partitions(spark, SHUFFLE_EXPANSION * estimated_bytes(docs)):
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         padded = ngram_positions(docs, max_n).groupBy(*_slots(max_n))
         padded = padded.agg(F.count(F.lit(1)).alias("freq"))
         for n in range(max_n, 0, -1):
-            padded = materialize(padded, f"grams{n}", folder)
-            tables[n] = _complete(padded, n)
             if n < max_n:
+                padded = materialize_bucketed(padded, f"contexts{n}", _slots(n), buckets, folder)
                 tables[f"contexts{n}"] = _complete(padded, n, "n_next")
+            if n > 1:
+                dealt = padded.select(*_slots(n), "freq").repartition(buckets, *_slots(n - 1))
+                padded = materialize_bucketed(dealt, f"grams{n}", _slots(n - 1), buckets, folder)
+            elif max_n == 1:
+                padded = materialize(padded, "grams1", folder)
+            tables[n] = _complete(padded, n)
             last = F.col(f"w{n}")
             padded = padded.groupBy(*_slots(n - 1)).agg(
                 F.sum("freq").alias("freq"),
@@ -76,6 +89,11 @@ def count_tables(
     return tables
 
 
+def as_contexts(tables: Mapping, n: int) -> DataFrame:
+    """The counts of order n as the side that is looked up: bucketed by the whole n-gram, if counted so."""
+    return tables[f"contexts{n}"].drop("n_next") if f"contexts{n}" in tables else tables[n]
+
+
 def _complete(padded: DataFrame, n: int, *more: str) -> DataFrame:
     slots = _slots(n)
     named = [F.col(slot).alias(name) for slot, name in zip(slots, words_of(n))]

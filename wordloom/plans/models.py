@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wordloom.functions.text import clean_text, remove_listed_features, tokenize
 from wordloom.functions.words import STOP_WORDS, drop_stop_words, trim_predictions
-from wordloom.operators.counts import FREQ, count_tables, words_of
+from wordloom.operators.counts import FREQ, as_contexts, count_tables, words_of
 from wordloom.operators.joins import context_join
 from wordloom.operators.kneser_ney import bigram_kn, bigram_kn_interpolated, trigram_kn
 from wordloom.operators.mle import (
@@ -111,7 +111,7 @@ def mle_top(
     best = top_ngrams(trimmed_counts(tables[n], n, stop_words, trim_context, trim_on), n, k)
     context = words_of(n)[:-1]
     names = [F.col(a).alias(b) for a, b in zip(words_of(n - 1), context)]
-    lower = tables[n - 1].select(*names, FREQ[n - 1])
+    lower = as_contexts(tables, n - 1).select(*names, FREQ[n - 1])
     return model_table(
         best.join(lower, context).withColumn("prob", ratio(FREQ[n], FREQ[n - 1])), n, "prob"
     )
@@ -119,7 +119,7 @@ def mle_top(
 
 def probabilities(tables: Tables, max_n: int = 4) -> dict[int, DataFrame]:
     """Full MLE and interpolated probability tables of every order, untrimmed."""
-    out = {1: unigram_mle(tables[1])}
+    out = {1: unigram_mle(as_contexts(tables, 1))}
     if max_n >= 2:
         out[2] = bigram_interpolated(bigram_mle(tables[2], out[1]))
     if max_n >= 3:
@@ -143,7 +143,7 @@ def interpolated_top(
     the survivors are joined, one join per lower order.
     """
     best = top_ngrams(trimmed_counts(tables[n], n, stop_words, trim_context, trim_on), n, k)
-    uni = unigram_mle(tables[1])
+    uni = unigram_mle(as_contexts(tables, 1))
     if n == 2:
         scored = bigram_interpolated(bigram_mle(best, uni, ranked=True)).withColumn(
             "smooth_prob", F.col("smooth_mle")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,6 +77,46 @@ def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_bucketed(
+    df: DataFrame, name: str, keys: Sequence[str], buckets: int, folder: str | None = None, sort: Sequence[str] = ()
+) -> DataFrame:
+    """``materialize`` in buckets of ``keys``: joins, groups and ranks by these keys then move nothing.
+
+    ``df`` should already be dealt out by the keys, over as many partitions, which makes one file a
+    bucket.
+    """
+    path = f"{folder or shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    return write_bucketed(df, path, keys, buckets, sort)
+
+
+def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int, sort: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` to ``path`` in buckets and read it back as a table that knows them.
+
+    Only catalog tables can be bucketed; the entry is dropped again, the files are not its own.
+    """
+    table = f"wordloom_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet").bucketBy(buckets, *keys)
+    if sort:
+        writer = writer.sortBy(*sort)
+    writer.option("path", path).saveAsTable(table)
+    return _taken(df.sparkSession, table)
+
+
+def read_bucketed(spark: SparkSession, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """The table that ``write_bucketed`` left in ``path``, with its buckets, in any application."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    table = f"wordloom_{uuid.uuid4().hex}"
+    by = ", ".join(f"`{key}`" for key in keys)
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({by}) INTO {int(buckets)} BUCKETS LOCATION '{path}'")
+    return _taken(spark, table)
+
+
+def _taken(spark: SparkSession, table: str) -> DataFrame:
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Bytes of the files a plan reads, all columns counted.
 

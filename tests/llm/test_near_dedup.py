@@ -87,6 +87,29 @@ def test_one_of_each_component_stays(docs_of, rows):
     assert sorted(r.doc_id for r in left.collect()) == sorted(want)
 
 
+def test_texts_without_an_id_link_others(docs_of, words):
+    base = words(60, 3)
+    # 5 is near the first text without an id, which is near the second, which alone is near 9.
+    texts = [" ".join(base[:k] + [f"x{j}{i}" for i in range(60 - k)]) for j, k in ((0, 60), (1, 57), (2, 54), (3, 51))]
+    chain = [" ".join(base[3 * j : 3 * j + 48]) for j in range(4)]
+    rows = [(5, chain[0], "s"), (None, chain[1], "s"), (None, chain[2], "s"), (None, chain[2], "s"), (9, chain[3], "s")]
+    rows += [(i, text, "s") for i, text in enumerate(texts, 20)] + [(None, "quite another text without any id", "s"), (None, "", "s")]
+    some = [(i, text) for i, text, _ in rows]
+    got = near_dedup.near_duplicates(docs_of(rows), width=3, percent=85).collect()
+    key = lambda x: tuple(-1 if v is None else v for v in x)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=key) == sorted(brute(some, 3, 85), key=key)
+    pair = [(5, chain[0], "s"), (None, " ".join(base[:47]), "s")]
+    got = near_dedup.near_duplicates(docs_of(pair), width=3, percent=85).collect()
+    assert [r.component_id for r in got] == [5, 5]
+
+
+def test_columns_named_like_those_inside(spark):
+    rows = [(1, "one two three four five six", "a", "b"), (1, "one two three four five six", "a", "b"), (2, "other", "c", "d")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, __hash string, __gone string")
+    left = near_dedup.drop_near_duplicates(docs)
+    assert left.columns == docs.columns and sorted(map(tuple, left.collect())) == [rows[0], rows[2]]
+
+
 def test_empty_table(docs_of):
     assert near_dedup.near_duplicates(docs_of([])).count() == 0
     assert near_dedup.drop_near_duplicates(docs_of([])).count() == 0

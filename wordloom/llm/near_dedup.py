@@ -176,6 +176,16 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
             )
 
 
+def _own_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Full sets of texts, with the digests that their sketches have."""
+    for whole in batches:
+        for start in range(0, whole.num_rows, 1024):
+            sets = shingle_sets(*hashing.text_buffers(whole.slice(start, 1024).column(0)), width)
+            sets = [one for one in sets if len(one)]
+            columns = [pa.array([make(one) for one in sets], pa.binary()) for make in (set_key, np.ndarray.tobytes)]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "members"])
+
+
 def _decide(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
@@ -387,6 +397,10 @@ def near_duplicates(
     texts = docs.select(F.col(id_col).cast("bigint").alias("first_id"), F.col(text_col).alias("text"))
     sets = texts.join(needed, "first_id").select("node", "text")
     sets = sets.mapInArrow(lambda batches: _sets(batches, width), "node binary, members binary")
+    # Classes without an id are found by their digest, among the texts without an id.
+    unnamed = docs.where(F.col(id_col).cast("bigint").isNull()).select(F.col(text_col).alias("text"))
+    unnamed = unnamed.mapInArrow(lambda batches: _own_sets(batches, width), "node binary, members binary")
+    sets = sets.unionByName(unnamed.join(needed.where(F.col("first_id").isNull()).select("node"), "node", "left_semi"))
     sets = materialize(sets.dropDuplicates(["node"]), "sets")
 
     links = materialize(confirmed(star, sets, percent), "confirmed")
@@ -427,7 +441,8 @@ def drop_near_duplicates(
     """The rows of ``docs``, all columns as they are, with one document left of each component.
 
     The smallest id stays. Rows that repeat a kept id stay once for each different text; rows with
-    a null id cannot be told apart and stay, as do all rows without words.
+    a null id cannot be told apart and stay, as do all rows without words. Other columns may have any
+    names. An empty table gives an empty one.
     """
     judged = materialize(near_duplicates(docs, id_col, text_col, width, percent), "judged")
     known = judged.where("doc_id is not null")
@@ -441,6 +456,7 @@ def drop_near_duplicates(
         return left
     text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     same = left[id_col].cast("bigint") == repeated["__twice"]
-    once = left.join(repeated, same, "left_semi").withColumn("__hash", text_hash)
-    once = once.dropDuplicates([id_col, "__hash"]).drop("__hash")
+    own = next(name for name in ("__hash" + "_" * i for i in range(99)) if name not in docs.columns)
+    once = left.join(repeated, same, "left_semi").withColumn(own, text_hash)
+    once = once.dropDuplicates([id_col, own]).drop(own)
     return left.join(repeated, same, "left_anti").unionByName(once)

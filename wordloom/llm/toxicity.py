@@ -34,8 +34,6 @@ from wordloom.workspace import materialize
 # The fit uses about this many labelled texts at most, chosen by a hash of the id. This bounds
 # the fit alone; every text is scored.
 MAX_TRAINING_TEXTS = 50_000
-# Units that the model keeps, the most significant first.
-MAX_UNITS = 50_000
 MIN_Z = 3.5
 # Odds that a unit must change at least twofold and more (e to this power). In large corpora slight
 # leanings of common words are significant too, and would let segments grow over any text.
@@ -242,7 +240,8 @@ def fit(
         counts = counted.mapInArrow(_count, "unit string, toxic bigint, other bigint")
         counts = counts.groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
         best = significant_units(counts, sizes[1], sizes[0])
-        for row in best.orderBy(F.desc(F.abs("z")), "unit").limit(MAX_UNITS).collect():
+        # Every significant unit is kept; what bounds them is the bound on the training texts.
+        for row in best.collect():
             model.weights[row["unit"]] = row["weight"]
             model.strengths[row["unit"]] = abs(row["z"])
 
@@ -326,7 +325,12 @@ def score_toxicity(
 def drop_toxic(
     docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7
 ) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose text scores below the threshold."""
+    """The rows of ``docs``, all columns as they are, whose text scores below the threshold.
+
+    Every row is judged by its text alone: null and empty texts have no evidence and stay, repeated rows
+    and ids stay or go by their own text. Other columns may have any names. An empty table gives an
+    empty one.
+    """
     ship(docs.sparkSession)
     kept_schema = docs.schema
     at = kept_schema.fieldNames().index(text_col)

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 # Words remembered by one worker; a full memory is emptied, which costs time and no result.
-REMEMBERED = 1_200_000
+REMEMBERED = 600_000
 
 # Texts with these are given to the library whole: its own special tokens, and four characters
 # that are white space for some functions and not for others.

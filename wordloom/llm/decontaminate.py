@@ -273,7 +273,12 @@ def _with_slots(
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that hold no benchmark item."""
+    """The rows of ``docs``, all columns as they are, that hold no benchmark item.
+
+    Null and empty texts hold none and stay, null ids and repeated rows are judged by their text, and an
+    id that stands for several texts loses only those with an item. Other columns may have any names.
+    An empty table gives an empty one, an empty benchmark drops nothing.
+    """
     found = leaks(docs, benchmark, id_col, text_col, **options)
     found = found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
     found = materialize(found, "leaks")

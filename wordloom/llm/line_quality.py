@@ -193,19 +193,25 @@ def remove_boilerplate(
 ) -> DataFrame:
     """The rows that ``judge`` keeps, all columns as they are but the text, which loses its boilerplate lines.
 
-    A line goes with the line break that ends it; all other line breaks and blank lines stay.
+    A line goes with the line break that ends it; all other line breaks and blank lines stay. Null
+    and empty texts fail and go. Null hosts are one host. Equal rows stay or go together. Null ids
+    stay null, other columns may have any names. An empty table gives an empty one.
     """
+    host, text_hash, marks = (
+        next(name for name in (base + "_" * i for i in range(99)) if name not in docs.columns)
+        for base in ("__host", "__hash", "__marks")
+    )
     rows = materialize(text_counts(docs, id_col, text_col, host_col), "line_counts")
     # One row per text: verdict and losses are those of the text and its host.
     judged = with_losses(rows.dropDuplicates(["host", "text_hash"]), least, share)
     _, failed, depleted = verdict()
     kept = judged.where(~failed & ~depleted).select(
-        F.col("host").alias("__host"), F.col("text_hash").alias("__hash"), F.col("marks").alias("__marks")
+        F.col("host").alias(host), F.col("text_hash").alias(text_hash), F.col("marks").alias(marks)
     )
     text = F.col(f"`{text_col}`")
-    own = F.filter(F.split(text, "\n"), lambda line: ~F.array_contains("__marks", line_hash(line)))
-    left = F.when(F.col("__marks").isNull(), text).otherwise(F.array_join(own, "\n")).alias(text_col)
+    own = F.filter(F.split(text, "\n"), lambda line: ~F.array_contains(marks, line_hash(line)))
+    left = F.when(F.col(marks).isNull(), text).otherwise(F.array_join(own, "\n")).alias(text_col)
     keyed = docs.withColumns(
-        {"__host": host_key(F.col(host_col)), "__hash": F.xxhash64(F.coalesce(text, F.lit("")))}
-    ).join(kept, ["__host", "__hash"])
+        {host: host_key(F.col(host_col)), text_hash: F.xxhash64(F.coalesce(text, F.lit("")))}
+    ).join(kept, [host, text_hash])
     return keyed.select(*[left if name == text_col else F.col(f"`{name}`") for name in docs.columns])

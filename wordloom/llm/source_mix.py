@@ -136,7 +136,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """The rows of ``docs``, all columns as they are, each as often as ``copies`` says.
 
     Rows are matched by id, source and size. Among rows equal in all three the copies are added up
-    and dealt out evenly, the first ones in the order of their texts getting one more.
+    and dealt out evenly, the first ones in the order of their texts getting one more. Null texts have
+    no words and null sources are one source, as in ``copies``. Other columns may have any names. An
+    empty table gives an empty one.
     """
     counted = copies(docs, id_col, text_col, source_col, **options)
     keys = ["__id", "__source", "__size"]

@@ -130,6 +130,13 @@ def test_redacted_texts(spark, corpus):
     assert len(seventh) == 2 and all("555-" not in r.text and "[at]" not in r.text for r in seventh)
 
 
+def test_cells_are_bounded():
+    bound = 1
+    for count in pd.FEATURES.values():
+        bound *= count
+    assert bound == pd.CELLS
+
+
 def test_null_and_repeated_ids(spark):
     rows = scanned(spark, [(None, "a@b.cc"), (1, "1.2.3.4"), (1, "1.2.3.4"), (1, None)])
     assert sorted(r.spans for r in rows) == ["", "email:0:6", "ip:0:7", "ip:0:7"]

@@ -4,7 +4,7 @@ import re
 import pytest
 
 from wordloom.llm import near_dedup
-from wordloom.llm.components import connected_components
+from wordloom.llm.components import connected_components, joined_components
 
 
 def shingles(text, width):
@@ -121,3 +121,23 @@ def test_connected_components(spark):
     want = {i: 0 for i in range(41)} | {k: 100 for k in range(100, 130)} | {200: 200, 201: 200}
     assert {r.node: r.root for r in got.collect()} == want
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_components_are_joined_by_more_links(spark):
+    table = lambda rows, names: spark.createDataFrame(rows, ", ".join(f"{n} bigint" for n in names))
+    r = random.Random(8)
+    first = [(r.randrange(200), r.randrange(200)) for _ in range(90)]
+    more = [(r.randrange(230), r.randrange(230)) for _ in range(60)] + [(5, 5), first[0], first[0]]
+    roots = connected_components(table(first, "ab"))
+    got = joined_components(roots, table(more, "ab"))
+    want = connected_components(table(first + more, "ab"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    again = joined_components(roots, table([], "ab"))
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, roots.collect()))
+    low = {}
+    for a, b in first + more:
+        low.setdefault(a, a), low.setdefault(b, b)
+    for _ in range(300):
+        for a, b in first + more:
+            low[a] = low[b] = min(low[a], low[b])
+    assert dict(map(tuple, want.collect())) == {n: root for n, root in low.items() if any(n in x for x in first + more if x[0] != x[1])}

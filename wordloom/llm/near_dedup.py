@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wordloom.llm import hashing
-from wordloom.llm.components import connected_components
+from wordloom.llm.components import connected_components, joined_components
 from wordloom.llm.shipping import ship
 from wordloom.workspace import materialize
 
@@ -404,7 +404,7 @@ def near_duplicates(
     sets = materialize(sets.dropDuplicates(["node"]), "sets")
 
     links = materialize(confirmed(star, sets, percent), "confirmed")
-    roots = connected_components(links)
+    roots = materialize(connected_components(links), "roots")
 
     # What the stars left apart within a bucket.
     for greatest_only in (True, False):
@@ -418,10 +418,8 @@ def near_duplicates(
         open_rows = rooted.join(mixed, "key").join(nodes.select("node", "bits", "bands"), "node")
         visited = materialize(visits(open_rows, least, greatest_only), "visits")
         found = materialize(visit_links(visited, apart, sets, percent), "confirmed")
-        # The components so far are stars; what was found joins some of them.
         if not found.isEmpty():
-            stars = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-            roots = connected_components(stars.unionByName(found))
+            roots = materialize(joined_components(roots, found), "roots")
 
     # A component's id is the smallest document id of its classes.
     labelled = nodes.select("node", "first_id").join(roots, "node", "left")

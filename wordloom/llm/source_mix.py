@@ -6,10 +6,10 @@ document is emitted once for every whole number that its part of the sum crosses
 on average, never more than its next whole number. Neighbours in the order are alike in size, so
 the words taken stray from the target by little.
 
-The order is (size class, a digit of a hash, size, id). Its prefix sums come from counts per
-(source, class, digit), of which a source has a fixed number at most, plus ranks inside each of
-these cells; so a source with a third of all rows is spread over many tasks, and so are copies of
-one text.
+The order is (size class, a digit of a hash, size, id). All rows are sorted by source and this order
+over ranges that balance themselves, a place is the number of rows in the ranges before plus the one
+inside the range, and a source's prefix sums are places less the place of its first row. So a source
+with a third of all rows, or copies of one text, are spread over many tasks.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from wordloom.workspace import materialize
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SEED = "mix-1"
+# monotonically_increasing_id() = partition number << 33 | row number within the partition.
+ROW_BITS = 33
 # The six bytes that separate words.
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -105,10 +107,23 @@ def copies(
 
     # Null sources are told from named ones by a flag, as joins would drop them.
     flagged = rows.withColumn("unnamed", F.col("source").isNull()).withColumn("name", F.coalesce("source", F.lit("")))
-    cell = ["unnamed", "name", "class", "digit"]
-    cells = flagged.groupBy(*cell).agg(F.count("*").alias("n"), F.sum("size").alias("words"))
-    cells = materialize(cells, "cells")
-    sources = cells.groupBy("unnamed", "name").agg(F.sum("words").alias("source_size"))
+    order = ["unnamed", "name", "class", "digit", "size", "doc_id"]
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Rows that agree in all of these are dealt out by the last.
+    placed = flagged.withColumn("deal", F.monotonically_increasing_id())
+    placed = placed.repartitionByRange(parts, *order, "deal").sortWithinPartitions(*order, "deal")
+    # Written once, so that the sampled range bounds are used once.
+    placed = materialize(placed.drop("deal").withColumn("row_id", F.monotonically_increasing_id()), "places")
+    part = F.shiftright("row_id", ROW_BITS)
+    within = F.col("row_id").bitwiseAND(F.lit((1 << ROW_BITS) - 1)) + 1
+    # One row per range and source in it: what lies before in the source.
+    pieces = placed.groupBy("unnamed", "name", part.alias("part")).agg(
+        F.count("*").alias("n"), F.min(within).alias("first"), F.sum("size").alias("words")
+    )
+    pieces = materialize(pieces, "pieces")
+    before = Window.partitionBy("unnamed", "name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first") + 1
+    sources = pieces.groupBy("unnamed", "name").agg(F.sum("words").alias("source_size"))
     sources = sources.select(
         F.when(~F.col("unnamed"), F.col("name")).alias("source"), F.col("source_size")
     )
@@ -117,12 +132,9 @@ def copies(
         F.col("source").isNull().alias("unnamed"), F.coalesce("source", F.lit("")).alias("name"),
         "source_size", "target",
     )
-    order = Window.partitionBy("unnamed", "name").orderBy("class", "digit")
-    earlier = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    known = cells.select(*cell, earlier.alias("earlier")).join(targets, ["unnamed", "name"])
+    known = pieces.select("unnamed", "name", "part", earlier.alias("earlier")).join(targets, ["unnamed", "name"])
 
-    ranked = flagged.withColumn("rank", F.row_number().over(Window.partitionBy(*cell).orderBy("size", "doc_id")))
-    ranked = ranked.join(known, cell)
+    ranked = placed.withColumn("part", part).withColumn("rank", within).join(known, ["unnamed", "name", "part"])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     upto = F.col("earlier") + F.col("rank")
     start = offset(F.col("source"), seed)

@@ -1,7 +1,10 @@
 import collections
+import hashlib
+import math
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from wordloom.llm import line_quality, source_mix, url_filter
 
@@ -66,10 +69,17 @@ def test_boilerplate_depletes(docs_of, words):
     rows = [(k, f"{shared.upper() if k % 2 else shared}\n{own(k, 10)}", "hot") for k in range(40)]
     rows += [(100 + k, f"{shared}\n{own(100 + k, 80)}", "hot") for k in range(5)]
     rows += [(200, f"{shared}\n{own(200, 10)}", "cold"), (300, own(300, 90), "hot")]
-    # Copies of one text are one document for the line counts.
+    # Each copy of a text is a document: 60 pass the limit of 20 and lose their lines, 20 do not. (Until
+    # round 2 copies counted once and the 60 stayed; the method counts documents.)
     rows += [(400 + k, own(400, 70), "copies") for k in range(60)]
+    rows += [(500 + k, own(500, 70), "copies") for k in range(20)]
+    # The limit does not depend on how many documents the host has: 21 of 3021 are enough.
+    rows += [(1000 + k, f"{shared}\n{own(1000 + k, 10)}", "large") for k in range(21)]
+    rows += [(2000 + k, own(2000 + k, 1), "large") for k in range(3000)]
     got = {r.doc_id: r for r in line_quality.judge(docs_of(rows)).collect()}
-    assert [k for k, r in got.items() if not r.kept] == list(range(40)) or {k for k, r in got.items() if not r.kept} == set(range(40))
+    gone = {*range(40), *range(400, 460), *range(1000, 1021)}
+    assert {k for k, r in got.items() if not r.kept and k < 2000} == gone
+    assert got[400].left_words == 0 and got[500].n_boilerplate_lines == 0 and got[1000].n_boilerplate_lines == 5
     assert got[0].n_boilerplate_lines == 5 and got[0].left_words == 10 and got[200].n_boilerplate_lines == 0
 
 
@@ -129,3 +139,25 @@ def test_mix_meets_targets(spark, docs_of, words):
     mixed = source_mix.mix(docs)
     assert mixed.columns == docs.columns and mixed.count() == sum(r.n_copies for r in got)
     assert source_mix.copies(docs_of([])).count() == 0 and source_mix.mix(docs_of([])).count() == 0
+
+
+def test_mix_of_one_hot_source_of_equal_sizes_is_spread(docs_of, monkeypatch):
+    rows = [(i, "one two three", "hot") for i in range(4000)] + [(9, "one two three", "hot")] * 50
+    rows += [(10_000 + i, "a b", "cold") for i in range(3)]
+    docs = docs_of(rows)
+    made, write = {}, source_mix.materialize
+    monkeypatch.setattr(source_mix, "materialize", lambda df, name: made.setdefault(name, write(df, name)))
+    got = source_mix.copies(docs)
+    ranges = made["places"].groupBy(F.shiftright("row_id", source_mix.ROW_BITS)).count().collect()
+    assert len(ranges) > 4 and max(r["count"] for r in ranges) < len(rows) / 3
+    order = sorted((hashlib.md5(str(i).encode()).hexdigest()[0], i) for i, _, source in rows if source == "hot")
+    start = int(hashlib.md5(b"mix-1:=hot").hexdigest()[:8], 16) / 2**32
+    collected = got.where("source = 'hot'").collect()
+    rate = collected[0].target / collected[0].source_size
+    want = collections.Counter()
+    for rank, (_, i) in enumerate(order, 1):
+        want[i] += math.floor(start + rate * rank) - math.floor(start + rate * (rank - 1))
+    taken = collections.Counter()
+    for r in collected:
+        taken[r.doc_id] += r.n_copies
+    assert len(collected) == 4050 and taken == want

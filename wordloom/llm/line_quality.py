@@ -2,8 +2,8 @@
 
 DataFrame operations only. Per-text counts are expressions on one row: window hashes are sorted
 inside the row, so that a long text costs n log n. Across documents, lines are normalised and
-hashed; how many different documents of a host hold each is counted with partial sums before the
-one shuffle; lines above the limit are taken out and a document that loses too much is rejected.
+hashed; how many documents of a host hold each is counted with partial sums before the one
+shuffle; lines above the limit are taken out and a document that loses too much is rejected.
 """
 
 from __future__ import annotations
@@ -19,10 +19,9 @@ SYMBOLS = "#*$%&|<>"
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-# A line of a host is boilerplate if more of its different documents hold it than this many and
-# more than this share of them.
+# A line of a host is boilerplate if more of its documents hold it than this many, however many the
+# host has: documents that are added to a host acquit no line.
 LINE_DOCUMENTS = 20
-LINE_SHARE = 0.01
 # A document is depleted if lines that are no boilerplate hold fewer words, or a smaller share.
 LEFT_WORDS = 25
 LEFT_SHARE = 0.25
@@ -109,24 +108,23 @@ def text_counts(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> D
     )
 
 
-def boilerplate(different: DataFrame, least: int = LINE_DOCUMENTS, share: float = LINE_SHARE) -> DataFrame:
-    """``host, line``: lines that more different texts of their host hold than the limits allow.
+def boilerplate(texts: DataFrame, least: int = LINE_DOCUMENTS) -> DataFrame:
+    """``host, line``: lines that more than ``least`` documents of their host hold.
 
-    Lines are made different within the row first, and counted map-side before the shuffle.
+    ``texts`` has one row per different text of a host, with the number of its documents. Lines are
+    made different within the row first, and counts are added up map-side before the shuffle.
     """
-    sizes = different.groupBy("host").agg(F.count("*").alias("documents"))
-    held = different.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
-    counted = held.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > F.lit(least))
-    return counted.join(sizes, "host").where(F.col("n") > F.lit(share) * F.col("documents")).select("host", "line")
+    own = F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line")
+    counted = texts.select("host", "documents", own).groupBy("host", "line").agg(F.sum("documents").alias("n"))
+    return counted.where(F.col("n") > F.lit(least)).select("host", "line")
 
 
-def with_losses(rows: DataFrame, least: int, share: float) -> DataFrame:
+def with_losses(rows: DataFrame, least: int) -> DataFrame:
     """``rows`` of ``text_counts`` with ``lines_lost, words_lost`` and ``marks``, the hashes of their boilerplate."""
-    # Documents with equal texts count as one, for copies are not what this rule is about, and share
-    # their lines' fate.
-    different = rows.groupBy("host", "text_hash").agg(F.first("lines").alias("lines"))
+    # Equal texts of a host hold the same lines: they are looked up once and count as often as they occur.
+    different = rows.groupBy("host", "text_hash").agg(F.first("lines").alias("lines"), F.count("*").alias("documents"))
     different = materialize(different, "different_texts")
-    common = materialize(boilerplate(different, least, share), "boilerplate")
+    common = materialize(boilerplate(different, least), "boilerplate")
     each = different.select("host", "text_hash", F.explode("lines").alias("x")).select(
         "host", "text_hash", F.col("x.line").alias("line"), F.col("x.words").alias("words")
     )
@@ -151,7 +149,6 @@ def judge(
     text_col: str = "text",
     host_col: str = "source",
     least: int = LINE_DOCUMENTS,
-    share: float = LINE_SHARE,
 ) -> DataFrame:
     """Counts and verdict of every row.
 
@@ -161,12 +158,13 @@ def judge(
     repeated), ``n_lines``, ``n_boilerplate_lines``, ``left_words`` and ``kept``: not base_failed and
     not depleted by the loss of boilerplate lines.
 
-    Null and empty texts have no words and fail. Null hosts are one host. Rows that repeat an id are
-    judged each by its own text, equal rows alike. Other columns are not looked at. An empty table
+    Null and empty texts have no words and fail. Null hosts are one host. Every row is a document, so
+    each copy of a text counts; a text with more copies in its host than ``least`` loses all lines. Rows
+    that repeat an id are judged each by its own text, equal rows alike. Other columns are not looked at. An empty table
     gives an empty one.
     """
     rows = materialize(text_counts(docs, id_col, text_col, host_col), "line_counts")
-    judged = with_losses(rows, least, share)
+    judged = with_losses(rows, least)
     left, failed, depleted = verdict()
     return judged.select(
         "doc_id",
@@ -189,7 +187,6 @@ def remove_boilerplate(
     text_col: str = "text",
     host_col: str = "source",
     least: int = LINE_DOCUMENTS,
-    share: float = LINE_SHARE,
 ) -> DataFrame:
     """The rows that ``judge`` keeps, all columns as they are but the text, which loses its boilerplate lines.
 
@@ -202,10 +199,10 @@ def remove_boilerplate(
         for base in ("__host", "__hash", "__marks")
     )
     rows = materialize(text_counts(docs, id_col, text_col, host_col), "line_counts")
-    # One row per text: verdict and losses are those of the text and its host.
-    judged = with_losses(rows.dropDuplicates(["host", "text_hash"]), least, share)
     _, failed, depleted = verdict()
-    kept = judged.where(~failed & ~depleted).select(
+    # One row per text: verdict and losses are those of the text and its host.
+    judged = with_losses(rows, least).where(~failed & ~depleted).dropDuplicates(["host", "text_hash"])
+    kept = judged.select(
         F.col("host").alias(host), F.col("text_hash").alias(text_hash), F.col("marks").alias(marks)
     )
     text = F.col(f"`{text_col}`")

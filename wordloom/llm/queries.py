@@ -145,13 +145,10 @@ ORACLE: dict[str, str] = {
         covered AS (
             SELECT row, count(DISTINCT p) AS n FROM (SELECT row, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY row),
         exploded AS (
-            SELECT row, host, text, regexp_replace(regexp_replace(lower(x), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g') AS line,
+            SELECT row, host, regexp_replace(regexp_replace(lower(x), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g') AS line,
                    len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS words
-            FROM (SELECT row, host, text, unnest(lines) AS x FROM d)),
-        hosts AS (SELECT host, count(DISTINCT text) AS documents FROM d GROUP BY host),
-        common AS (
-            SELECT host, line FROM exploded JOIN hosts USING (host) GROUP BY host, line, documents
-            HAVING count(DISTINCT text) > 20 AND count(DISTINCT text) > 0.01::DOUBLE * documents),
+            FROM (SELECT row, host, unnest(lines) AS x FROM d)),
+        common AS (SELECT host, line FROM exploded GROUP BY host, line HAVING count(DISTINCT row) > 20),
         lost AS (SELECT row, count(*) AS lines_lost, sum(words) AS words_lost FROM exploded JOIN common USING (host, line) GROUP BY row),
         counted AS (
             SELECT doc_id, len(tokens) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,

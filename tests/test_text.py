@@ -175,3 +175,17 @@ def test_the_filter_lets_few_words_through(spark):
     got = told.groupBy(F.col("word").startswith("w").alias("own")).agg(F.count_if("may").alias("n"))
     n = {r.own: r.n for r in got.collect()}
     assert n[True] == 10_000 and n[False] < 200
+
+
+def test_records_full_of_listed_words_are_looked_up_by_the_few_words_they_keep(spark, tmp_path):
+    """Only words that the filter lets through by mistake travel, not the listed ones of each record."""
+    rng = random.Random(3)
+    rows = [(i, [f"w{rng.randrange(4000)}" for _ in range(400)] + [None]) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id int, tokens array<string>")
+    listed = spark.range(2000).selectExpr("concat('w', id) as word")
+    got = {r.doc_id: r.tokens for r in text.remove_listed_features(df, listed, str(tmp_path)).collect()}
+    # A null token is not listed and stays.
+    assert got == {i: [w for w in t if w is None or int(w[1:]) >= 2000] for i, t in rows}
+    (spared,) = tmp_path.glob("spared_words-*")
+    words_ = spark.read.parquet(str(spared)).selectExpr("explode(_spared) as word")
+    assert words_.count() < 100 and not words_.join(listed, "word").count()

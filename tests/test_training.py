@@ -79,6 +79,37 @@ def test_counting_stage_of_long_ngrams_has_one_hash_exchange(spark, monkeypatch)
     assert plans[0][0] == "grams4" and plans[0][1].count("Exchange hashpartitioning") == 1
 
 
+def test_ngrams_move_as_one_text_and_lie_sorted(spark, monkeypatch):
+    plans = {}
+    written = counts.materialize_bucketed
+
+    def seen(df, name, keys, buckets, folder=None, sort=()):
+        plans[name] = (df._jdf.queryExecution().executedPlan().toString(), list(keys), list(sort))
+        return written(df, name, keys, buckets, folder, sort)
+
+    monkeypatch.setattr(counts, "materialize_bucketed", seen)
+    for n in (2, 4):
+        plans.clear()
+        docs = odd_docs(spark)
+        packed = models.train_counts(docs, n)
+        made = dict(plans)
+        for order in range(2, n + 1):
+            plan, keys, sort = made[f"grams{order}"]
+            assert keys == [f"w{i}" for i in range(1, order)] and sort == [*keys, f"w{order}"]
+            moves = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+            assert moves and all("gram#" in line for line in moves)
+        assert made[f"contexts{n - 1}"][2] == made[f"contexts{n - 1}"][1]
+        expected = counts.count_tables(models.tokenized(docs), n)
+        for key, table in expected.items():
+            assert sorted(map(tuple, table.collect())) == sorted(map(tuple, packed[key].collect()))
+
+
+def test_tokens_with_the_separator_are_counted_as_words(spark):
+    docs = spark.createDataFrame([(["a\x1fb", "c", "a", "b"],)], "tokens array<string>")
+    found = counts.count_tables(docs, 2)[2].collect()
+    assert sorted((r.w1, r.w2) for r in found) == [("a", "b"), ("a\x1fb", "c"), ("c", "a")]
+
+
 def test_partitions_follow_the_size_of_the_corpus(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     monkeypatch.setattr(counts, "estimated_bytes", lambda df: 1 << 30)

@@ -41,6 +41,18 @@ def test_planes_round_trip(unit, top):
     assert (token_planes.from_planes(token_planes.to_planes(ids, unit), len(ids), unit) == ids).all()
 
 
+def test_encoded_at_once_is_bounded_by_bytes(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(token_planes, "SLICE_BYTES", 1000)
+    texts = ["word " * 40] * 50 + [None, "", "long " * 900, ""] + ["x"] * 3
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts)})
+    pieces = [piece.column(1).to_pylist() for piece in token_planes._slices(batch)]
+    assert [text for piece in pieces for text in piece] == texts
+    assert all(sum(len(text or "") for text in piece) <= 1000 + max(len(text or "") for text in piece) for piece in pieces)
+    assert len(pieces) > 10 and list(token_planes._slices(batch.slice(0, 0))) == []
+
+
 @pytest.mark.parametrize("unit", ["byte", "bit"])
 def test_files_hold_every_document(spark, docs_of, tokenizer, monkeypatch, unit):
     rows = [(i, text, "s") for i, text in enumerate(ODD)]

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
@@ -27,8 +28,8 @@ from wordloom.llm.shipping import ship
 from wordloom.workspace import shared_folder
 
 BLOCK_IDS = 1 << 16
-# Rows encoded at once.
-ROWS = 4096
+# Bytes of text encoded at once, and the one text that passes them; each takes many times its size meanwhile.
+SLICE_BYTES = 1 << 20
 
 _BLOCKS = (
     "shard int, block bigint, first bigint, n_ids bigint, unit string, planes array<binary>, "
@@ -116,13 +117,22 @@ _ARROW = pa.schema([
 ])
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch of ids and texts in pieces of about SLICE_BYTES, in order."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    piece = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+    starts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+    for low, high in zip(starts, starts[1:]):
+        if high > low:
+            yield batch.slice(low, high - low)
+
+
 def _encode(
     batches: Iterator[pa.RecordBatch], path: str, end_id: int, unit: str
 ) -> Iterator[pa.RecordBatch]:
     shard = _Shard(TaskContext.get().partitionId(), unit)
     for whole in batches:
-        for start in range(0, whole.num_rows, ROWS):
-            batch = whole.slice(start, ROWS)
+        for batch in _slices(whole):
             flat, counts = encoding.encoder(path).encode(batch.column(1))
             ends = np.cumsum(counts + 1)
             ids = np.full(int(ends[-1]), end_id, dtype=np.uint32)

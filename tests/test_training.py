@@ -104,6 +104,33 @@ def test_ngrams_move_as_one_text_and_lie_sorted(spark, monkeypatch):
             assert sorted(map(tuple, table.collect())) == sorted(map(tuple, packed[key].collect()))
 
 
+@pytest.mark.parametrize("n", [2, 3, 4])
+def test_a_part_sends_a_bucket_one_row_per_frequency(spark, n):
+    docs = spark.createDataFrame([(i, " ".join(f"x{(i * k) % 23}y" for k in range(60))) for i in range(40)], "doc_id bigint, text string")
+    packed = counts.ngram_positions(models.dealt_tokens(docs, n), n, models.PART).select(models.PART, counts._joined(n))
+    packed = packed.groupBy(models.PART, "gram").agg(F.count(F.lit(1)).alias("freq"))
+    moved = counts._bundled(packed, n, models.PART, 5)
+    plan = moved._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and plan.index("split(grams") < plan.index("Exchange hashpartitioning") < plan.index("collect_list")
+    found = {tuple(r[:n]): r.freq for r in moved.collect()}
+    direct = packed.groupBy("gram").agg(F.sum("freq").alias("freq")).collect()
+    expected = {tuple((r.gram.split(counts.SEPARATOR) + [None] * n)[:n]): r.freq for r in direct}
+    assert found == expected and len(found) < sum(found.values())
+
+
+@pytest.mark.parametrize("n", [2, 3, 4])
+def test_bundled_tables_equal_plain_ones(spark, monkeypatch, n):
+    sent = []
+    bundled = counts._bundled
+    monkeypatch.setattr(counts, "_bundled", lambda *args: sent.append(args[1:]) or bundled(*args))
+    docs = odd_docs(spark)
+    dealt, plain = models.train_counts(docs, n), counts.count_tables(models.tokenized(docs), n)
+    assert [args[0] for args in sent] == [n]
+    for key, table in plain.items():
+        assert table.columns == dealt[key].columns
+        assert sorted(map(tuple, table.collect())) == sorted(map(tuple, dealt[key].collect()))
+
+
 def test_tokens_with_the_separator_are_counted_as_words(spark):
     docs = spark.createDataFrame([(["a\x1fb", "c", "a", "b"],)], "tokens array<string>")
     found = counts.count_tables(docs, 2)[2].collect()

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from registry import spark_queries
-from wordloom.operators import counts
+from wordloom.operators import counts, mle
 from wordloom.plans import models
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -143,3 +143,28 @@ def test_partitions_follow_the_size_of_the_corpus(spark, monkeypatch):
     out = counts.ngram_counts(models.dealt_tokens(docs, 3), 3, models.PART)
     assert f", {36 * 8})" in out._jdf.queryExecution().executedPlan().toString()
     assert out.agg(F.sum("tri_freq")).first()[0] == 78826
+
+
+def moved(df):
+    """The hash exchanges of a plan."""
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("n", [3, 4])
+def test_ngrams_meet_their_targets_in_one_move(micro, no_broadcast, n):
+    full = models.probabilities(micro, n)
+    table = full[n].drop("smooth_prob")
+    if n == 3:
+        out = mle.trigram_interpolated(table, lower_order="target", bi=full[2], uni=full[1])
+    else:
+        out = mle.tetragram_interpolated(table, lower_order="target", tri=full[3], bi=full[2], uni=full[1])
+    # To the predicted word alone only bigrams go; the longer n-grams find all their targets at once.
+    assert moved(out) and not any(f"hashpartitioning(w{n}#" in line for line in moved(out))

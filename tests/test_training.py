@@ -168,3 +168,15 @@ def test_ngrams_meet_their_targets_in_one_move(micro, no_broadcast, n):
         out = mle.tetragram_interpolated(table, lower_order="target", tri=full[3], bi=full[2], uni=full[1])
     # To the predicted word alone only bigrams go; the longer n-grams find all their targets at once.
     assert moved(out) and not any(f"hashpartitioning(w{n}#" in line for line in moved(out))
+
+
+def test_a_saved_name_writes_each_table_once(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(spark_queries, "_models", {})
+    monkeypatch.setattr(models, "materialize", lambda *args: written.append(args[1]))
+    write = models.write_lookup
+    monkeypatch.setattr(models, "write_lookup", lambda model, path: written.append("lookup") or write(model, path))
+    loaded = spark_queries.load_model(spark, SF_DIR)
+    assert written == ["lookup"]
+    again = models.mle_top(spark_queries.trained(spark, SF_DIR, 2), 2)
+    assert sorted(map(tuple, loaded.collect())) == sorted(map(tuple, again.select(*loaded.columns).collect()))

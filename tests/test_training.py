@@ -180,3 +180,14 @@ def test_a_saved_name_writes_each_table_once(spark, monkeypatch):
     assert written == ["lookup"]
     again = models.mle_top(spark_queries.trained(spark, SF_DIR, 2), 2)
     assert sorted(map(tuple, loaded.collect())) == sorted(map(tuple, again.select(*loaded.columns).collect()))
+
+
+@pytest.mark.parametrize("n", [2, 3, 4])
+def test_ngrams_of_a_first_word_move_as_one_text(spark, n):
+    for docs in (odd_docs(spark), spark.createDataFrame([(i, " ".join(f"x{(i * k) % 23}y" for k in range(60))) for i in range(40)], "doc_id bigint, text string")):
+        tokens = models.dealt_tokens(docs, n)
+        packed = counts.ngram_counts(tokens, n, models.PART, packed=True)
+        plain = counts.ngram_counts(tokens, n, models.PART)
+        assert packed.columns == plain.columns and sorted(map(tuple, packed.collect())) == sorted(map(tuple, plain.collect()))
+    text = spark_queries.QUERIES["tetragram_counts"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert text.index("split(texts") < text.index("Exchange hashpartitioning(w1") < text.index("collect_list")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from registry import spark_queries
-from wordloom.operators import counts, mle
+from wordloom.operators import counts, joins, mle
 from wordloom.plans import models
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -191,3 +191,33 @@ def test_ngrams_of_a_first_word_move_as_one_text(spark, n):
         assert packed.columns == plain.columns and sorted(map(tuple, packed.collect())) == sorted(map(tuple, plain.collect()))
     text = spark_queries.QUERIES["tetragram_counts"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert text.index("split(texts") < text.index("Exchange hashpartitioning(w1") < text.index("collect_list")
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tables_in_buckets_of_a_context_are_not_split(spark, micro, monkeypatch, no_broadcast):
+    monkeypatch.setattr(joins, "_partitions", lambda df, nbytes: 64)
+    want = sorted(map(tuple, models.probabilities(micro)[4].collect()))
+    monkeypatch.setattr(joins, "SALT_ABOVE_BYTES", 0)
+    split = models.probabilities(micro)[4]
+    assert "salt" not in plan(split) and sorted(map(tuple, split.collect())) == want
+    # Joins that move a table anyway still deal its hot keys to several tasks.
+    assert "salt" in plan(models.kn_trigrams(micro, mle.unigram_mle(micro[1])))
+    assert joins.lies_by(micro[3], ["w1", "w2"]) and not joins.lies_by(micro[3], ["w2", "w3"])
+    assert not joins.lies_by(spark.range(3), ["id"])
+
+
+def test_moved_ngrams_are_not_sorted_for_a_join(micro, monkeypatch, no_broadcast):
+    uni = mle.unigram_mle(micro[1])
+    kn = models.kn_trigrams(micro, uni)
+    assert "ShuffledHashJoin" in plan(kn) and "SortMergeJoin" not in plan(kn)
+    want = sorted(map(tuple, kn.collect()))
+    monkeypatch.setattr(joins, "HASH_EXPANSION", 1 << 60)
+    sorted_kn = models.kn_trigrams(micro, uni)
+    assert "ShuffledHashJoin" not in plan(sorted_kn) and sorted(map(tuple, sorted_kn.collect())) == want
+
+
+def test_small_tables_are_still_broadcast(micro):
+    assert "BroadcastHashJoin" in plan(models.probabilities(micro, 2)[2])

@@ -1,9 +1,11 @@
 """What is counted for a query, and how often the n-grams move."""
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from registry import spark_queries
+from wordloom import workspace
 from wordloom.operators import counts, joins, mle
 from wordloom.plans import models
 
@@ -221,3 +223,30 @@ def test_moved_ngrams_are_not_sorted_for_a_join(micro, monkeypatch, no_broadcast
 
 def test_small_tables_are_still_broadcast(micro):
     assert "BroadcastHashJoin" in plan(models.probabilities(micro, 2)[2])
+
+
+def test_bucketed_tables_are_sorted_files_without_dictionaries(spark, tmp_path):
+    rows = [(f"w{i * 7 % 50}", f"v{i * 11 % 40}", i) for i in range(500)] + [(None, "v", 1), ("w", None, 2)]
+    df = spark.createDataFrame(rows, "a string, b string, n bigint").repartition(3)
+    # More buckets than one task keeps files open for.
+    out = workspace.write_bucketed(df.coalesce(1), str(tmp_path / "t"), ["a"], 3 * workspace.OPEN_FILES, ["a", "b"])
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(rows, key=str)
+    files = list((tmp_path / "t").glob("*.parquet"))
+    buckets = {f.name.split("_")[1].split(".")[0] for f in files}
+    assert len(buckets) == len(files) > workspace.OPEN_FILES
+    for f in files:
+        part = pq.ParquetFile(f)
+        found = [(r["a"] or "", r["b"] or "") for r in part.read().to_pylist()]
+        assert found == sorted(found)
+        column = part.metadata.row_group(0).column(0)
+        assert column.compression == "ZSTD" and not any("DICTIONARY" in x for x in column.encodings)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_ngrams_are_added_up_as_texts(spark, monkeypatch):
+    plans = {}
+    written = counts.materialize_bucketed
+    monkeypatch.setattr(counts, "materialize_bucketed", lambda df, name, *args: plans.update({name: plan(df)}) or written(df, name, *args))
+    models.train_counts(odd_docs(spark), 3)
+    keys = [line.split("keys=[")[1].split("]")[0] for line in plans["grams3"].splitlines() if "Aggregate(keys=" in line]
+    assert keys and not any("w1#" in key for key in keys)
